@@ -24,9 +24,10 @@ from tradewind.operators.similarity import _codes, content_features, purchase_si
 BLOCK_PRODUCTS = 65_536     # products per block
 BLOCK_EDGES = 4_000_000     # similarity edges per block
 SHARD_ROWS = 1_000_000      # history rows per shard
-CELLS = 2_000_000           # client x product scores held at a time in a task
-GATHER = 4_000_000          # similarity edges looked up at a time in a task
+CELLS = 500_000             # client x product scores held at a time in a task
+GATHER = 500_000            # similarity edges looked up at a time in a task
 
+RANGE = ("cf_lo", "cf_hi", "ct_lo", "ct_hi")
 MODELS = {"content": 0.0, "collaborative": 1.0, "hybrid": 0.5}
 
 
@@ -43,12 +44,12 @@ def recommend(history: DataFrame, products: DataFrame, k: int = 5,
     """
     checked_k(k)
     models = models or {"hybrid": MODELS["hybrid"]}
+    use_collab, use_content = any(a != 0 for a in models.values()), any(a != 1 for a in models.values())
     spark = products.sparkSession
     history = materialize(history, "history")
-    if edges is None and any(w != 0 for w in models.values()):
-        edges = purchase_similarity(history)
     links = None
-    if edges is not None:
+    if use_collab:
+        edges = purchase_similarity(history) if edges is None else edges
         links = materialize(edges.select("i", "j", fixed_point(F.col("sim")).alias("s")), "edges")
     scored = history.join(wanted.select("client_id").distinct(), "client_id", "left_semi") if wanted else history
     n_products, n_history = products.count(), max(1, scored.count())
@@ -56,48 +57,72 @@ def recommend(history: DataFrame, products: DataFrame, k: int = 5,
     if blocks is None or shards is None:
         blocks, shards = _grid(n_products, n_history, n_links, spark.sparkContext.defaultParallelism)
 
-    feats = content_features(products)
-    norm = F.sqrt(F.col("m") + F.col("p") * F.col("p"))
-    catalogue = feats.select("product_id", "category", "brand", "p", norm.alias("norm"))
-    weight = F.coalesce(F.try_divide(F.lit(1.0).cast("double"), F.col("norm")), F.lit(0.0).cast("double"))
-    left = scored.join(
-        catalogue.select("product_id", "category", "brand", fixed_point(weight).alias("w"),
-                         fixed_point(F.col("p") * weight).alias("wp")), "product_id") \
-        .withColumn("shard", F.pmod(F.xxhash64("client_id"), F.lit(shards)).cast("int")) \
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # rows of one (block, shard) pair share a task key; shard s of block b has key b * shards + s
     block_of = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
-    right = catalogue.select(
-        block_of("product_id").alias("block"), F.lit(None).cast("int").alias("i"),
-        F.col("product_id").alias("j"), F.lit(None).cast("bigint").alias("s"),
-        *[F.col(c).alias(c) for c in ("category", "brand", "p", "norm")])
+    in_all_shards = lambda c: F.explode(F.sequence(
+        block_of(c) * shards, block_of(c) * shards + (shards - 1))).alias("task")
+    shard = F.pmod(F.xxhash64("client_id"), F.lit(shards)).cast("int")
+    in_all_blocks = F.explode(F.sequence(shard, shard + (blocks - 1) * shards, F.lit(shards))).alias("task")
+    # history rows and, with a null client, the products of the block
+    none = lambda t: F.lit(None).cast(t)
+    if use_content:
+        feats = content_features(products)
+        norm = F.sqrt(F.col("m") + F.col("p") * F.col("p"))
+        feats = feats.select("product_id", "category", "brand", "p", norm.alias("norm"))
+        weight = F.coalesce(F.try_divide(F.lit(1.0).cast("double"), F.col("norm")), F.lit(0.0).cast("double"))
+        sides = scored.join(feats, "product_id").select(
+            in_all_blocks, "client_id", "product_id", "n", "category", "brand",
+            fixed_point(weight).cast("double").alias("x"), fixed_point(F.col("p") * weight).cast("double").alias("y"))
+        stock = feats.select(
+            in_all_shards("product_id"), none("int").alias("client_id"), "product_id", none("bigint").alias("n"),
+            "category", "brand", F.col("p").alias("x"), F.col("norm").alias("y"))
+    else:
+        sides = scored.join(products.select("product_id"), "product_id").select(
+            in_all_blocks, "client_id", "product_id", "n")
+        stock = products.select(
+            in_all_shards("product_id"), none("int").alias("client_id"), "product_id", none("bigint").alias("n"))
     if links is not None:
-        none = lambda t: F.lit(None).cast(t)
-        right = right.unionByName(links.select(
-            block_of("j").alias("block"), "i", "j", "s", none("string").alias("category"),
-            none("string").alias("brand"), none("double").alias("p"), none("double").alias("norm")))
-    right = right.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-
-    if blocks > 1:
-        # the min-max range of a client spans all blocks: find it first, then score
-        low_high = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(
-            lambda a, b: _score_block(a, b, k, None),
-            "client_id int, cf_lo double, cf_hi double, ct_lo double, ct_hi double")
-        ranges = materialize(low_high.groupBy("client_id").agg(
-            F.min("cf_lo").alias("cf_lo"), F.max("cf_hi").alias("cf_hi"),
-            F.min("ct_lo").alias("ct_lo"), F.max("ct_hi").alias("ct_hi")), "ranges")
-        left = left.join(ranges, "client_id")
-
-    parts = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(
-        lambda a, b: _score_block(a, b, k, models), "client_id int, model string, product_id int, score double")
+        right = links.select(in_all_shards("j"), "i", "j", "s")
+    else:
+        right = spark.createDataFrame([], "task int, i int, j int, s bigint")
+
+    # several times as many partitions as keys keep two large groups from sharing a task
+    parts = 4 * blocks * shards
+
+    def cogrouped(kernel, schema: str) -> DataFrame:
+        left = sides.unionByName(stock, allowMissingColumns=True)
+        a, b = (d.repartition(parts, "task").groupBy("task") for d in (left, right))
+        return a.cogroup(b).applyInArrow(kernel, schema)
+
+    columns = "client_id int, model string, product_id int, score double, lo double, hi double"
     best = W.partitionBy("client_id", "model").orderBy(F.desc("score"), "product_id")
-    return parts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
-        .select("client_id", "model", "rank", "product_id", F.round("score", 9).alias("score"))
+    if set(models.values()) <= {0.0, 1.0}:
+        # one kind of score keeps its order when scaled, so scaling can wait until the end
+        raw = cogrouped(lambda a, b: _score_block(a, b, k, models, "raw"), columns)
+        whole = W.partitionBy("client_id", "model")
+        low, high = F.min("lo").over(whole), F.max("hi").over(whole)
+        scaled = F.when(F.col("high") > F.col("low"), (F.col("score") - F.col("low")) / (F.col("high") - F.col("low")))
+        found = raw.withColumn("low", low).withColumn("high", high) \
+            .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
+            .withColumn("score", F.coalesce(scaled, F.lit(0.0).cast("double")))
+    else:
+        if blocks > 1:
+            # the range of a client's scores spans all blocks: find it first, then score
+            low_high = cogrouped(lambda a, b: _score_block(a, b, k, models, "range"),
+                                 "client_id int, cf_lo double, cf_hi double, ct_lo double, ct_hi double")
+            ranges = materialize(low_high.groupBy("client_id").agg(
+                F.min("cf_lo").alias("cf_lo"), F.max("cf_hi").alias("cf_hi"),
+                F.min("ct_lo").alias("ct_lo"), F.max("ct_hi").alias("ct_hi")), "ranges")
+            sides = sides.join(ranges, "client_id")
+        found = cogrouped(lambda a, b: _score_block(a, b, k, models, "scaled"), columns) \
+            .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return found.select("client_id", "model", "rank", "product_id", F.round("score", 9).alias("score"))
 
 
 def _grid(n_products: int, n_history: int, n_links: int, parallelism: int) -> tuple[int, int]:
     """Blocks and shards: enough of both to bound a task, split so that the copies of
     history rows (one per block) and of edges (one per shard) balance."""
-    tasks = 2 * parallelism
+    tasks = 3 * parallelism
     least = max(1, math.ceil(n_products / BLOCK_PRODUCTS), math.ceil(n_links / BLOCK_EDGES))
     wish = round(math.sqrt(tasks * max(n_links, n_products) / n_history))
     blocks = max(least, min(wish, tasks, max(1, n_products // 256)))
@@ -105,36 +130,40 @@ def _grid(n_products: int, n_history: int, n_links: int, parallelism: int) -> tu
     return blocks, shards
 
 
-def _score_block(left: pa.Table, right: pa.Table, k: int, models: dict[str, float] | None) -> pa.Table:
+def _score_block(left: pa.Table, right: pa.Table, k: int, models: dict[str, float], mode: str) -> pa.Table:
     """Scores of the clients of one shard for the products of one block.
 
-    Without ``models`` it returns the range of both scores over unbought products.
-    Sums are whole numbers below 2^53 held in doubles, hence exact and free of order.
+    ``range`` returns the range of both scores over unbought products, ``raw`` the best
+    products by unscaled score together with that range, ``scaled`` the best by mixed
+    scaled scores. Sums are whole numbers below 2^53 held in doubles, hence exact and
+    free of order.
     """
     col = lambda t, c: t.column(c).to_numpy()
-    is_product = right.column("i").is_null().to_numpy()
-    items = right.filter(pa.array(is_product)).sort_by("j")
-    links = right.filter(pa.array(~is_product)).select(["i", "j", "s"]).sort_by("i")
-    left = left.sort_by("client_id")
-    ids = col(items, "j")
+    use_collab, use_content = any(a != 0 for a in models.values()), any(a != 1 for a in models.values())
+    is_product = left.column("client_id").is_null().to_numpy()
+    items = left.filter(pa.array(is_product)).sort_by("product_id")
+    left = left.filter(pa.array(~is_product)).sort_by("client_id")
+    links = right.sort_by("i")
+    ids = col(items, "product_id")
     n_items = len(ids)
-    p, norm = col(items, "p"), col(items, "norm")
     link_i, link_s = col(links, "i"), col(links, "s")
     link_x = np.searchsorted(ids, col(links, "j"))
-    cat_h, cat_x = _codes(left.column("category"), items.column("category"))
-    brand_h, brand_x = _codes(left.column("brand"), items.column("brand"))
     h, n = col(left, "product_id"), col(left, "n").astype(float)
-    w, wp = col(left, "w") * n, col(left, "wp") * n
+    n_cat = n_brand = 0
+    if use_content:
+        p, norm = col(items, "x"), col(items, "y")
+        cat_h, cat_x = _codes(left.column("category"), items.column("category"))
+        brand_h, brand_x = _codes(left.column("brand"), items.column("brand"))
+        w, wp = col(left, "x") * n, col(left, "y") * n
+        n_cat, n_brand = [max(a.max(initial=-1), b.max(initial=-1)) + 2
+                          for a, b in ((cat_h, cat_x), (brand_h, brand_x))]
     clients, first = np.unique(col(left, "client_id"), return_index=True)
     bounds = np.append(first, len(h))
     at = np.searchsorted(ids, h)
     bought_here = (at < n_items) & (ids[np.minimum(at, n_items - 1)] == h) if n_items else np.zeros(len(h), bool)
     lo, hi = np.searchsorted(link_i, h, "left"), np.searchsorted(link_i, h, "right")
-    n_cat, n_brand = [max(a.max(initial=-1), b.max(initial=-1)) + 2 for a, b in ((cat_h, cat_x), (brand_h, brand_x))]
     step = max(1, CELLS // max(1, n_items + n_cat + n_brand))
-    given = None
-    if "cf_lo" in left.column_names:
-        given = [col(left, c)[first] for c in ("cf_lo", "cf_hi", "ct_lo", "ct_hi")]
+    given = [col(left, c)[first] for c in RANGE] if RANGE[0] in left.column_names else None
 
     out = []
     for c0 in range(0, len(clients) if n_items else 0, step):
@@ -143,45 +172,47 @@ def _score_block(left: pa.Table, right: pa.Table, k: int, models: dict[str, floa
         who = np.repeat(np.arange(c1 - c0), np.diff(bounds[c0:c1 + 1]))
         size = c1 - c0
 
-        def table(code, width):
+        def table(code, width, rows=rows, who=who, size=size):
             # one spare last column for "no value", kept at zero
             known = code >= 0
             t = np.bincount(who[known] * width + code[known], w[rows][known], size * width)
             return t.reshape(size, width)
 
-        per_cat, per_brand = table(cat_h[rows], n_cat), table(brand_h[rows], n_brand)
-        per_price = np.bincount(who, wp[rows], size)
-        content = per_cat[:, cat_x] + per_brand[:, brand_x]
-        content += per_price[:, None] * p
-        np.divide(content, norm, out=content, where=norm > 0)
-        collab = _gather(who, n[rows], lo[rows], hi[rows], link_x, link_s, size, n_items)
         taken = np.zeros((size, n_items), bool)
         here = bought_here[rows]
         taken[who[here], at[rows][here]] = True
-        open_clients = ~taken.all(axis=1)
-        if given is None or models is None:
+        some_left = ~taken.all(axis=1)
+        collab = content = np.zeros((1, n_items))
+        if use_collab:
+            collab = _gather(who, n[rows], lo[rows], hi[rows], link_x, link_s, size, n_items)
+        if use_content:
+            content = table(cat_h[rows], n_cat)[:, cat_x] + table(brand_h[rows], n_brand)[:, brand_x]
+            content += np.bincount(who, wp[rows], size)[:, None] * p
+            np.divide(content, norm, out=content, where=norm > 0)
+        if given is None:
             span = [f(np.where(taken, fill, s), axis=1) for s in (collab, content)
                     for f, fill in ((np.min, np.inf), (np.max, -np.inf))]
         else:
             span = [g[c0:c1] for g in given]
-        if models is None:
-            out.append(pa.table({
-                "client_id": pa.array(clients[c0:c1][open_clients], pa.int32()),
-                **{name: pa.array(s[open_clients]) for name, s in zip(("cf_lo", "cf_hi", "ct_lo", "ct_hi"), span)}}))
-            continue
-        cf = _scaled(collab, span[0], span[1])
-        ct = _scaled(content, span[2], span[3])
-        for name, alpha in models.items():
-            score = alpha * cf + (1 - alpha) * ct
-            score[taken] = -np.inf
-            out.append(_best(score, clients[c0:c1], ids, k, name))
+        who_id = clients[c0:c1]
+        if mode == "range":
+            out.append(pa.table({"client_id": pa.array(who_id[some_left], pa.int32()),
+                                 **{c: pa.array(s[some_left]) for c, s in zip(RANGE, span)}}))
+        elif mode == "raw":
+            for name, alpha in models.items():
+                score = np.where(taken, -np.inf, collab if alpha == 1 else content)
+                out.append(_best(score, who_id, ids, k, name, *(span[:2] if alpha == 1 else span[2:])))
+        else:
+            cf, ct = _scaled(collab, span[0], span[1]), _scaled(content, span[2], span[3])
+            for name, alpha in models.items():
+                score = alpha * cf + (1 - alpha) * ct
+                score[taken] = -np.inf
+                out.append(_best(score, who_id, ids, k, name, *span[:2]))
     if out:
         return pa.concat_tables(out)
-    if models is None:
-        names = ["cf_lo", "cf_hi", "ct_lo", "ct_hi"]
-        return pa.table({"client_id": pa.array([], pa.int32()), **{c: pa.array([], pa.float64()) for c in names}})
-    return pa.table({"client_id": pa.array([], pa.int32()), "model": pa.array([], pa.string()),
-                     "product_id": pa.array([], pa.int32()), "score": pa.array([], pa.float64())})
+    if mode == "range":
+        return pa.table({"client_id": pa.array([], pa.int32()), **{c: pa.array([], pa.float64()) for c in RANGE}})
+    return _best(np.empty((0, 0)), np.empty(0, int), ids, k, "", np.empty(0), np.empty(0))
 
 
 def _gather(who, n, lo, hi, link_x, link_s, size, width):
@@ -210,21 +241,23 @@ def _scaled(x, low, high):
     return out
 
 
-def _best(score, clients, ids, k, name):
+def _best(score, clients, ids, k, name, low, high):
     """Best ``k`` per row; products are in id order and the first maximum wins ties."""
     rows = np.arange(len(score))
-    c, x, v = [], [], []
+    r, x, v = [rows[:0]], [rows[:0]], [np.empty(0)]
     for _ in range(min(k, score.shape[1])):
         top = score.argmax(axis=1)
         val = score[rows, top]
         ok = val > -np.inf
-        c.append(clients[ok])
-        x.append(ids[top[ok]])
+        r.append(rows[ok])
+        x.append(top[ok])
         v.append(val[ok])
         score[rows, top] = -np.inf
-    c, x, v = np.concatenate(c), np.concatenate(x), np.concatenate(v)
-    return pa.table({"client_id": pa.array(c, pa.int32()), "model": pa.array([name] * len(c), pa.string()),
-                     "product_id": pa.array(x, pa.int32()), "score": pa.array(v)})
+    r, x, v = np.concatenate(r), np.concatenate(x), np.concatenate(v)
+    return pa.table({
+        "client_id": pa.array(clients[r], pa.int32()), "model": pa.array([name] * len(r), pa.string()),
+        "product_id": pa.array(ids[x], pa.int32()), "score": pa.array(v),
+        "lo": pa.array(low[r]), "hi": pa.array(high[r])})
 
 
 def recommend_or_popular(clients: DataFrame, sales: DataFrame, products: DataFrame, k: int = 5) -> DataFrame:
