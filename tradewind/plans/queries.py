@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.running import with_running_sums
-from tradewind.functions.storage import materialize
+from tradewind.functions.storage import fresh_path, materialize
 from tradewind.operators import (
-    cleaning, drift, history, metrics, pricing, profile, quality, recommend, series, similarity, stock,
+    cleaning, drift, forecast, history, metrics, pricing, profile, quality, recommend, series, similarity, stock,
 )
 from tradewind.sources.star import SALES_WINDOW, Star
+from tradewind.streaming import sales_stream
 
 K = 5
 Query = Callable[[SparkSession, str], DataFrame]
@@ -380,3 +381,80 @@ def running_totals(s: Star) -> DataFrame:
     sales = s.sales.select("sale_id", "sale_date", "amount", F.lit(1).alias("one"))
     return with_running_sums(sales, ["sale_date", "sale_id"], {"total_sales": "one", "total_revenue": "amount"}) \
         .drop("one")
+
+
+def _stream_paths(s: Star, label: str) -> tuple[str, str]:
+    return fresh_path(s.spark, f"{label}-out"), fresh_path(s.spark, f"{label}-checkpoint")
+
+
+@query
+def stream_enriched(s: Star) -> DataFrame:
+    """Sales streamed from files, enriched, sent as JSON messages to files, read back."""
+    out, checkpoint = _stream_paths(s, "enriched")
+    sales_stream.run_append(
+        sales_stream.encode(sales_stream.enrich(s.sales_stream(), s.products)), out, checkpoint, "text")
+    return sales_stream.decode(s.spark.read.text(out))
+
+
+def _live_events(s: Star) -> DataFrame:
+    return sales_stream.decode(sales_stream.encode(sales_stream.enrich(s.sales_stream(), s.products)))
+
+
+@query
+def stream_totals_by_category(s: Star) -> DataFrame:
+    out, checkpoint = _stream_paths(s, "categories")
+    sales_stream.run_complete(sales_stream.totals_by_category(_live_events(s)), out, checkpoint)
+    return s.spark.read.parquet(out).orderBy(F.desc("n_sales"), "category")
+
+
+@query
+def stream_totals(s: Star) -> DataFrame:
+    out, checkpoint = _stream_paths(s, "totals")
+    sales_stream.run_complete(sales_stream.totals(_live_events(s)), out, checkpoint)
+    return s.spark.read.parquet(out)
+
+
+@query
+def stream_running_totals(s: Star) -> DataFrame:
+    out, checkpoint = _stream_paths(s, "running")
+    live = _live_events(s).select("sale_id", "sale_date", "amount")
+    sales_stream.run_running_totals(live, out, checkpoint, ["sale_date", "sale_id"])
+    return s.spark.read.parquet(f"{out}/rows").drop("batch")
+
+
+# --- forecast models ---------------------------------------------------------------------------------------
+
+def _model_rows(s: Star) -> DataFrame:
+    dense = materialize(daily_demand_dense(s), "dense")
+    return materialize(forecast.evaluation_forecasts(dense, s.promotions), "forecasts")
+
+
+@query
+def model_forecast(s: Star) -> DataFrame:
+    return _model_rows(s).withColumn("yhat", F.round("yhat", 4))
+
+
+@query
+def forecast_comparison(s: Star) -> DataFrame:
+    return series.model_comparison(_model_rows(s))
+
+
+@query
+def forecast_experiments(s: Star) -> DataFrame:
+    return series.experiment_table(_model_rows(s))
+
+
+@query
+def published_forecast(s: Star) -> DataFrame:
+    return forecast.published_forecast(materialize(daily_demand(s), "demand"))
+
+
+@query
+def stock_cover_forecast(s: Star) -> DataFrame:
+    rows = materialize(published_forecast(s), "published")
+    return stock.stock_cover(s.products, rows.where(F.col("kind") == "forecast"))
+
+
+@query
+def scorecard(s: Star) -> DataFrame:
+    return metrics.scorecard(forecast_comparison(s), optimal_price_by_category(s), reco_evaluation(s))

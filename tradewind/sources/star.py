@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The campaign calendar (0 is the "no promotion" row without dates).
@@ -32,6 +32,11 @@ SEGMENT_RULES = """
 SALES_WINDOW = ("1995-07-01", "2001-06-30")
 
 
+def _full_sale_id() -> Column:
+    parts = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    return F.concat_ws("-", *parts, F.col("l_shipdate").cast("date").cast("string"))
+
+
 class Star:
     """Lazy DataFrames of the five tables; unused columns are pruned at the scan."""
 
@@ -76,22 +81,25 @@ class Star:
 
     @cached_property
     def sales(self) -> DataFrame:
-        return self._sales(sale_id=F.concat_ws(
-            "-", *[F.col(c).cast("string") for c in
-                   ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-            F.col("l_shipdate").cast("date").cast("string"),
-        ))
+        return self._sales(_full_sale_id())
 
     @cached_property
     def raw_sales(self) -> DataFrame:
         """Sales keyed by order and line, a key the source repeats."""
-        return self._sales(sale_id=F.concat_ws(
+        return self._sales(F.concat_ws(
             "-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
 
-    def _sales(self, sale_id) -> DataFrame:
+    def sales_stream(self) -> DataFrame:
+        """The sales as a stream over the line item files, joined with the static tables."""
+        schema = self.raw("lineitem").schema
+        lines = self.spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet") \
+            .parquet(self.sf_dir)
+        return self._sales(_full_sale_id(), lines)
+
+    def _sales(self, sale_id, lines: DataFrame | None = None) -> DataFrame:
         pct = F.round(F.col("l_discount") * 100).cast("int")
         promo = F.when(pct >= 5, pct).otherwise(F.lit(0))
-        lines = self.raw("lineitem").withColumn("promo_id", promo)
+        lines = (self.raw("lineitem") if lines is None else lines).withColumn("promo_id", promo)
         orders = self.raw("orders").select(
             F.col("o_orderkey").alias("l_orderkey"),
             F.col("o_custkey").cast("int").alias("client_id"),
