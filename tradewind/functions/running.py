@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.storage import materialize
 
-FEW_VALUES = 100_000
+FEW_VALUES = 1_000_000
 
 
 def with_running_sums(df: DataFrame, order: list[str], sums: dict[str, str]) -> DataFrame:

@@ -94,9 +94,9 @@ def drift_report(sales: DataFrame, products: DataFrame) -> DataFrame:
         known.groupBy("product_id", "unit_price", "sale_date").agg(
             F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("units")), "drift")
     flagged = split_recent(facts)
-    demand = flagged.groupBy("sale_date", "recent").agg(F.sum("units").alias("units")) \
-        .select("units", "recent", F.lit(1).alias("n"))
-    prices = flagged.groupBy("unit_price", "recent").agg(F.sum("n").alias("n"))
+    demand = materialize(flagged.groupBy("sale_date", "recent").agg(F.sum("units").alias("units"))
+                         .select("units", "recent", F.lit(1).alias("n")), "drift-demand")
+    prices = materialize(flagged.groupBy("unit_price", "recent").agg(F.sum("n").alias("n")), "drift-prices")
 
     def indicator(name: str, psi: DataFrame) -> DataFrame:
         return psi.select(F.lit(name).alias("indicator"), half_even(F.col("psi"), 3).alias("psi"))
