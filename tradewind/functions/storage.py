@@ -33,8 +33,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: later uses neither recompute it nor
-    depend on executors that may be lost, and its row count comes from footers."""
+    depend on executors that may be lost, and its row count comes from footers. A frame
+    that is such a table already is returned as it is."""
+    if getattr(df, "stored_at", None):
+        return df
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored

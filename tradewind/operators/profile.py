@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradewind.functions.numeric import half_even, percent, ratio, scalar
@@ -71,7 +72,7 @@ def sales_profile(sales: DataFrame, products: DataFrame, clients: DataFrame) ->
 
 def event_funnel(events: DataFrame) -> DataFrame:
     counts = events.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
-    total = scalar(events, F.count(F.lit(1)))
+    total = F.sum("n").over(W.partitionBy(F.lit(0)))  # over one row per action
     return counts.withColumn("share_pct", half_even(percent(F.col("n"), total), 1)) \
         .orderBy(F.desc("n"), "action")
 
