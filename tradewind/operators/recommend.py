@@ -125,7 +125,7 @@ def _grid(n_products: int, n_history: int, n_links: int, parallelism: int) -> tu
     tasks = 3 * parallelism
     least = max(1, math.ceil(n_products / BLOCK_PRODUCTS), math.ceil(n_links / BLOCK_EDGES))
     wish = round(math.sqrt(tasks * max(n_links, n_products) / n_history))
-    blocks = max(least, min(wish, tasks, max(1, n_products // 256)))
+    blocks = max(least, min(wish, tasks, max(1, n_products // 64)))
     shards = max(1, math.ceil(n_history / SHARD_ROWS), math.ceil(tasks / blocks) if n_history > 10_000 else 1)
     return blocks, shards
 
