@@ -7,39 +7,39 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_fallback: dict[str, str] = {}
-
 
 def shared_root(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
-    Only a local session, which has no other machines to share with, may go
-    without the setting; it gets a temporary folder of its own.
+    A session on one machine, which has nobody to share with, may leave the setting out: it
+    gets a folder of its own, put into the setting once. Any other session must name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _fallback:
-        _fallback[app] = tempfile.mkdtemp(prefix="tradewind-")
-    return _fallback[app]
+    if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        root = "file://" + tempfile.mkdtemp(prefix="tradewind-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: later uses neither recompute it
+    nor depend on executors that may be lost, and its row count comes from footers."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and read it back: later uses neither recompute it nor
-    depend on executors that may be lost, and its row count comes from footers. A frame
-    that is such a table already is returned as it is."""
-    if getattr(df, "stored_at", None):
+    """``stored``, but a frame that is such a table already is returned as it is."""
+    if vars(df).get("_tradewind_stored"):
         return df
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
-    df.write.parquet(path)
-    stored = spark.read.schema(df.schema).parquet(path)
-    stored.stored_at = path
-    return stored
+    out = stored(df, label)
+    vars(out)["_tradewind_stored"] = True
+    return out
