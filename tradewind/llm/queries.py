@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import exact, mixing, packing, quality, toxicity
+from tradewind.functions.storage import fresh_path
+from tradewind.llm import exact, idfile, mixing, packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +37,13 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 
+@_named
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "ids")
+    idfile.write(_table(spark, sf_dir, "documents"), path)
+    return idfile.index(spark, path)
+
+
 @_named
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
