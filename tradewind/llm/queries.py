@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.storage import fresh_path
-from tradewind.llm import exact, idfile, mixing, packing, quality, toxicity
+from tradewind.llm import exact, idfile, mixing, packing, pages, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,6 +60,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@_named
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(_table(spark, sf_dir, "pages"))
+
+
 @_named
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
