@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.storage import fresh_path
-from tradewind.llm import exact, idfile, mixing, packing, pages, quality, toxicity
+from tradewind.llm import exact, idfile, mixing, packing, pages, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,6 +44,12 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfile.index(spark, path)
 
 
+@_named
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.train(docs))
+
+
 @_named
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
