@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.storage import fresh_path
-from tradewind.llm import exact, idfile, mixing, packing, pages, pii, quality, toxicity
+from tradewind.llm import exact, idfile, mixing, neardup, packing, pages, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +23,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_named
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.find(_table(spark, sf_dir, "documents"))
+
+
 @_named
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.find(_table(spark, sf_dir, "documents"))

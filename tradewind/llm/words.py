@@ -23,7 +23,7 @@ _LOWER[65:91] += 32
 _seeded = np.random.default_rng(20240229)
 _BYTE = _seeded.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _seeded.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE = np.array([0x9E3779B97F4A7C15], np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -36,7 +36,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> np.ndarray:
-    out = np.full(max(n, 1), _BASE, np.uint64)
+    out = np.full(max(n, 1), _BASE[0], np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
@@ -93,7 +93,6 @@ def shingle_sets(column: pa.Array | pa.ChunkedArray) -> Iterator[np.ndarray]:
                 own = np.sort(windows[a:b - SHINGLE + 1])
                 yield own[np.concatenate(([True], own[1:] != own[:-1]))]
             elif b > a:
-                short = (words[a:b] * _PLACE[:b - a]).sum(dtype=np.uint64) + np.uint64(b - a) * _BASE
-                yield mix(np.array([short], np.uint64))
+                yield mix((words[a:b] * _PLACE[:b - a]).sum(dtype=np.uint64, keepdims=True) + _BASE * np.uint64(b - a))
             else:
                 yield np.zeros(0, np.uint64)
