@@ -6,40 +6,28 @@ What passes it is joined exactly. With very many wanted ids the bitmap lets most
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BITS = 24
-_SLICE = 15  # bits of the position inside one row of the bitmap
-
-
-def _pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    bits = np.zeros(1 << _SLICE, np.uint8)
-    bits[rows["at"].to_numpy()] = 1
-    return pd.DataFrame({"_slice": [key[0]], "_bits": [np.packbits(bits, bitorder="little").tobytes()]})
-
-
-def _bitmap(ids: DataFrame, key: str) -> DataFrame:
-    """At most 2^9 rows of 4 kB, 2 MB together, made from at most 2^24 distinct places."""
-    spot = _spot(key)
-    places = ids.select(F.shiftright(spot, _SLICE).alias("_slice"), spot.bitwiseAND((1 << _SLICE) - 1).alias("at"))
-    return places.distinct().groupBy("_slice").applyInPandas(_pack, "_slice int, _bits binary")
 
 
 def _spot(key: str):
-    return F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(1 << BITS)).cast("int")
+    """The place of a key in the bitmap, from 1."""
+    return F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(1 << BITS)) + 1
 
 
 def _marked(table: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """``table`` with ``_hit``: true for every row whose key is in ``ids`` and for a few others."""
-    byte = F.shiftright(_spot(key).bitwiseAND((1 << _SLICE) - 1), 3)
-    value = F.conv(F.hex(F.substring(F.col("_bits"), byte + 1, F.lit(1))), 16, 10).cast("int")
-    of = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), _spot(key).bitwiseAND(7) + 1)
-    hit = F.coalesce(value.bitwiseAND(of) != 0, F.lit(False)) & F.col(key).isNotNull()
-    return (table.withColumn("_slice", F.shiftright(_spot(key), _SLICE))
-            .join(F.broadcast(_bitmap(ids, key)), "_slice", "left").withColumn("_hit", hit))
+    """``table`` with ``_hit``: true for every row whose key is in ``ids`` and for a few others. The bitmap is at most 2^9
+    rows of 4 kB, 2 MB together."""
+    bitmap = ids.select(_spot(key).alias("v")).groupBy(F.bitmap_bucket_number("v").alias("_row")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("_bits"))
+    at = F.bitmap_bit_position(_spot(key)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    one = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), at.bitwiseAND(7) + 1)
+    hit = F.coalesce(byte.bitwiseAND(one) != 0, F.lit(False)) & F.col(key).isNotNull()
+    return (table.withColumn("_row", F.bitmap_bucket_number(_spot(key)))
+            .join(F.broadcast(bitmap), "_row", "left").withColumn("_hit", hit))
 
 
 def only_wanted(table: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.storage import fresh_path
-from tradewind.llm import exact, idfile, mixing, neardup, packing, pages, pii, quality, toxicity
+from tradewind.llm import exact, idfile, lines, mixing, neardup, packing, pages, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,6 +60,33 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+@_named
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.find(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op6_line_dedup"] = r"""
+WITH raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
+             FROM documents),
+     l AS (SELECT doc_id, line_no, list_filter(regexp_split_to_array(
+               translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda w: w <> '') AS words
+           FROM raw WHERE regexp_matches(line, '[^ 	-]')),
+     c AS (SELECT words, min(doc_id * 2147483648 + line_no) AS first, row_number() OVER () AS class FROM l GROUP BY words),
+     s AS (SELECT class, unnest(list_distinct(CASE WHEN len(words) < 5 THEN [words] ELSE
+               list_transform(range(1, len(words) - 3), lambda i: words[i:i + 4]) END)) AS shingle FROM c),
+     n AS (SELECT class, count(*) AS n FROM s GROUP BY class),
+     p AS (SELECT a.class AS a, b.class AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.class <> b.class GROUP BY ALL),
+     m AS (SELECT p.a AS class, min(o.first) AS other FROM p JOIN n x ON x.class = p.a JOIN n y ON y.class = p.b JOIN c o ON o.class = p.b
+           WHERE 100 * shared >= 75 * (x.n + y.n - shared) GROUP BY p.a),
+     j AS (SELECT l.doc_id, l.line_no, NOT (l.doc_id * 2147483648 + l.line_no = c.first AND coalesce(m.other > c.first, true)) AS gone
+           FROM l JOIN c ON c.words = l.words LEFT JOIN m ON m.class = c.class),
+     g AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+                  string_agg(line_no::VARCHAR, ',' ORDER BY line_no) FILTER (gone) AS removed FROM j GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN g ON g.doc_id = d.doc_id
+"""
+
+
 @_named
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
