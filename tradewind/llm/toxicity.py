@@ -13,6 +13,7 @@ toxic if one is. Repeated rows are scored one by one.
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +28,7 @@ BUCKETS = 1 << 16
 DIM = 12
 GRAMS = (3, 4, 5)
 #: Bounds of the training sample: documents of each class, windows of a document.
-TOXIC_ROWS, CLEAN_ROWS, WINDOWS_PER_ROW = 2500, 5000, 400
+TOXIC_ROWS, CLEAN_ROWS, WINDOWS_PER_ROW = 2500, 5000, 200
 _WORD = re.compile(r"\w+")
 _seeded = np.random.default_rng(7)
 _PLACE = _seeded.integers(1, 2**63, max(GRAMS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -151,13 +152,13 @@ def fit(rows: list[tuple[int, int, str]], seed: int = 11) -> Model:
         shift = float(np.log(max(prior, 1e-9) / max(1 - prior, 1e-9)))
         return Model(np.zeros(BUCKETS), 0.0, 0.0, shift, prior)
     vocabulary: dict[str, int] = {}
-    windows, doc = [], []
+    windows, doc = array("i"), array("i")
     for i, (_, _, text) in enumerate(rows):
         for line in text.split("\n"):
             ids = [vocabulary.setdefault(w, len(vocabulary)) for w in line.split(" ") if w]
-            windows.append(ids + [-1] * (WINDOW - len(ids)))
+            windows.extend(ids + [-1] * (WINDOW - len(ids)))
             doc.append(i)
-    windows, doc = np.array(windows, np.int64).reshape(-1, WINDOW), np.array(doc)
+    windows, doc = np.array(windows, np.int32).reshape(-1, WINDOW), np.array(doc, np.int32)
     bucket, owner = features(list(vocabulary)) if vocabulary else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     order = np.argsort(owner, kind="stable")
     bucket = bucket[order]
