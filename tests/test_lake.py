@@ -15,12 +15,12 @@ def write(path, text):
 
 
 CLIENTS = """client_id,name,age,city,signup_date,segment,channel
-1,Awa,30,Dakar,2025-01-01,Premium,web
-2,Bintou,zz,Thies,zz,New,web
-,Nobody,20,Dakar,2025-01-01,New,web
-1,Awa,30,Dakar,2025-01-01,Premium,web
-3,Zoe,50,Dakar,2025-02-02,New,shop
-3,Ali,50,Dakar,2025-02-02,New,shop
+1,Awa,30,Lyra,2025-01-01,Gold,web
+2,Bintou,zz,Orsa,zz,New,web
+,Nobody,20,Lyra,2025-01-01,New,web
+1,Awa,30,Lyra,2025-01-01,Gold,web
+3,Zoe,50,Lyra,2025-02-02,New,shop
+3,Ali,50,Lyra,2025-02-02,New,shop
 """
 
 
@@ -97,4 +97,5 @@ def test_run_all(spark, sf_dir, tmp_path):
     assert report.count() == 21
     published = reports.read_report(spark, str(tmp_path / "reports" / "forecast"))
     assert published.where("kind = 'forecast'").count() == 6 * 30
-    assert reports.read_report(spark, str(tmp_path / "reports/models/similar_products")).count() == 200 * 20
+    features = reports.read_report(spark, str(tmp_path / "reports/models/product_features"))
+    assert features.count() == 200 and {"category", "brand", "p", "m"} <= set(features.columns)

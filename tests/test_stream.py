@@ -2,7 +2,7 @@ import datetime as dt
 
 from tradewind.streaming import sales_stream as st
 
-SALE = "sale_id int, client_id int, product_id int, sale_date date, quantity int, amount bigint"
+SALE = "sale_id bigint, client_id bigint, product_id bigint, sale_date date, quantity int, amount bigint"
 
 
 def sales(spark, ids):
@@ -12,7 +12,7 @@ def sales(spark, ids):
 
 def products(spark):
     return spark.createDataFrame([(0, "p0", "a"), (1, "p1", "a"), (2, "p2", "b")],
-                                 "product_id int, name string, category string")
+                                 "product_id bigint, name string, category string")
 
 
 def send(spark, folder, ids):
@@ -79,3 +79,24 @@ def test_empty_stream(spark, tmp_path):
     live = st.decode(st.text_source(spark, str(inbox)))
     st.run_complete(st.totals_by_category(live), str(tmp_path / "out"), str(tmp_path / "c"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 0
+
+
+def test_sales_stream_reads_a_table_of_many_files(spark, sf_dir, tmp_path):
+    from pathlib import Path
+
+    from tradewind.sources.star import Star
+
+    for table in ("orders", "part"):
+        (tmp_path / f"{table}.parquet").symlink_to(Path(sf_dir) / f"{table}.parquet")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+
+    def live(name):
+        s = Star(spark, str(tmp_path))
+        out = str(tmp_path / f"out-{name}")
+        st.run_append(s.sales_stream(), out, str(tmp_path / f"checkpoint-{name}"))
+        return sorted(map(tuple, spark.read.schema(s.sales.schema).parquet(out).collect()))
+
+    lines.repartition(5).write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert live("many") == sorted(map(tuple, Star(spark, sf_dir).sales.collect()))
+    lines.limit(0).write.mode("overwrite").parquet(str(tmp_path / "lineitem.parquet"))
+    assert live("none") == []

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.storage import materialize
 
-FEW_VALUES = 1_000_000
-
 
 def with_running_sums(df: DataFrame, order: list[str], sums: dict[str, str]) -> DataFrame:
     """Add running sums ``{new column: summed column}`` in ascending ``order``."""
@@ -32,19 +30,14 @@ def with_running_sums(df: DataFrame, order: list[str], sums: dict[str, str]) ->
         *[(F.sum(c).over(within) + F.col(f"offset_{n}")).alias(n) for n, c in sums.items()])
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], weight: str | None = None,
-                    few: int = FEW_VALUES) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], weight: str | None = None) -> DataFrame:
     """Quantiles with linear interpolation as rows ``(idx, edge)``.
 
-    Works on distinct values with their counts, so repeats collapse on the map side.
-    ``weight`` names a column saying how often a row counts. Up to ``few`` distinct
-    values fit one aggregate; more are ranked by a distributed running sum.
+    Works on distinct values with their counts, so repeats collapse on the map side, ranked by a
+    distributed running sum whatever their number. ``weight`` names a column saying how often a row counts.
     """
     times = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = materialize(df.where(F.col(value).isNotNull()).groupBy(value).agg(times.alias("n")), "values")
-    if counts.count() <= few:
-        edges = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs]), F.col("n"))
-        return counts.agg(edges.alias("edges")).select(F.posexplode("edges").alias("idx", "edge"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(times.alias("n"))
     ranked = with_running_sums(counts, [value], {"upto": "n"})
     total = ranked.agg(F.max("upto").alias("t")).scalar()
     places = F.explode(F.array(*[

@@ -60,18 +60,19 @@ def units_per_product(sales: DataFrame) -> DataFrame:
 
 def kpi_summary(sales: DataFrame, products: DataFrame, events: DataFrame) -> DataFrame:
     """One row of business indicators; a zero denominator gives null."""
-    margin = F.col("quantity") * (F.col("unit_price") - F.col("unit_cost"))
-    totals = sales.join(products.select("product_id", "unit_cost"), "product_id").agg(
-        F.sum(line_revenue()).alias("revenue"),
-        F.sum(margin).alias("margin"),
-        F.countDistinct("client_id").alias("clients"),
-        F.countDistinct("sale_id").alias("orders"),
-        F.sum("quantity").alias("units"),
+    sold = per_product(sales).join(products.select("product_id", "unit_cost"), "product_id")
+    totals = sold.agg(
+        F.sum("revenue").alias("revenue"),
+        F.sum(F.col("revenue") - F.col("units") * F.col("unit_cost")).alias("margin"),
+        F.sum("units").alias("units"),
     )
+    # one distinct count to a query: two in one aggregate would copy every sale for each
+    clients = scalar(sales.select("client_id").distinct(), F.count("client_id"))
+    orders = scalar(sales.select("sale_id").distinct(), F.count("sale_id"))
     views = scalar(events, F.count_if(F.col("action") == "view"))
     stock = scalar(products, F.sum("stock"))
     c = F.col
-    return totals.select("*", views.alias("views"), stock.alias("stock")).select(
+    return totals.select("*", clients.alias("clients"), orders.alias("orders"), views.alias("views"), stock.alias("stock")).select(
         "revenue", "margin", "clients", "orders", "units", "views", "stock",
         F.round(percent(c("margin"), c("revenue")), 6).alias("margin_pct"),
         F.round(ratio(c("revenue"), c("orders")), 2).alias("mean_basket"),

@@ -51,7 +51,7 @@ def recommend(history: DataFrame, products: DataFrame, k: int = 5,
     if use_collab:
         edges = purchase_similarity(history) if edges is None else edges
         links = materialize(edges.select("i", "j", fixed_point(F.col("sim")).alias("s")), "edges")
-    scored = history.join(wanted.select("client_id").distinct(), "client_id", "left_semi") if wanted else history
+    scored = history.join(wanted.select("client_id").distinct(), "client_id", "left_semi") if wanted is not None else history
     n_products, n_history = products.count(), max(1, scored.count())
     n_links = links.count() if links is not None else 0
     if blocks is None or shards is None:
@@ -74,17 +74,17 @@ def recommend(history: DataFrame, products: DataFrame, k: int = 5,
             in_all_blocks, "client_id", "product_id", "n", "category", "brand",
             fixed_point(weight).cast("double").alias("x"), fixed_point(F.col("p") * weight).cast("double").alias("y"))
         stock = feats.select(
-            in_all_shards("product_id"), none("int").alias("client_id"), "product_id", none("bigint").alias("n"),
+            in_all_shards("product_id"), none("bigint").alias("client_id"), "product_id", none("bigint").alias("n"),
             "category", "brand", F.col("p").alias("x"), F.col("norm").alias("y"))
     else:
         sides = scored.join(products.select("product_id"), "product_id").select(
             in_all_blocks, "client_id", "product_id", "n")
         stock = products.select(
-            in_all_shards("product_id"), none("int").alias("client_id"), "product_id", none("bigint").alias("n"))
+            in_all_shards("product_id"), none("bigint").alias("client_id"), "product_id", none("bigint").alias("n"))
     if links is not None:
         right = links.select(in_all_shards("j"), "i", "j", "s")
     else:
-        right = spark.createDataFrame([], "task int, i int, j int, s bigint")
+        right = spark.createDataFrame([], "task int, i bigint, j bigint, s bigint")
 
     # several times as many partitions as keys keep two large groups from sharing a task
     parts = 4 * blocks * shards
@@ -94,7 +94,7 @@ def recommend(history: DataFrame, products: DataFrame, k: int = 5,
         a, b = (d.repartition(parts, "task").groupBy("task") for d in (left, right))
         return a.cogroup(b).applyInArrow(kernel, schema)
 
-    columns = "client_id int, model string, product_id int, score double, lo double, hi double"
+    columns = "client_id bigint, model string, product_id bigint, score double, lo double, hi double"
     best = W.partitionBy("client_id", "model").orderBy(F.desc("score"), "product_id")
     if set(models.values()) <= {0.0, 1.0}:
         # one kind of score keeps its order when scaled, so scaling can wait until the end
@@ -109,7 +109,7 @@ def recommend(history: DataFrame, products: DataFrame, k: int = 5,
         if blocks > 1:
             # the range of a client's scores spans all blocks: find it first, then score
             low_high = cogrouped(lambda a, b: _score_block(a, b, k, models, "range"),
-                                 "client_id int, cf_lo double, cf_hi double, ct_lo double, ct_hi double")
+                                 "client_id bigint, cf_lo double, cf_hi double, ct_lo double, ct_hi double")
             ranges = materialize(low_high.groupBy("client_id").agg(
                 F.min("cf_lo").alias("cf_lo"), F.max("cf_hi").alias("cf_hi"),
                 F.min("ct_lo").alias("ct_lo"), F.max("ct_hi").alias("ct_hi")), "ranges")
@@ -196,7 +196,7 @@ def _score_block(left: pa.Table, right: pa.Table, k: int, models: dict[str, floa
             span = [g[c0:c1] for g in given]
         who_id = clients[c0:c1]
         if mode == "range":
-            out.append(pa.table({"client_id": pa.array(who_id[some_left], pa.int32()),
+            out.append(pa.table({"client_id": pa.array(who_id[some_left], pa.int64()),
                                  **{c: pa.array(s[some_left]) for c, s in zip(RANGE, span)}}))
         elif mode == "raw":
             for name, alpha in models.items():
@@ -211,7 +211,7 @@ def _score_block(left: pa.Table, right: pa.Table, k: int, models: dict[str, floa
     if out:
         return pa.concat_tables(out)
     if mode == "range":
-        return pa.table({"client_id": pa.array([], pa.int32()), **{c: pa.array([], pa.float64()) for c in RANGE}})
+        return pa.table({"client_id": pa.array([], pa.int64()), **{c: pa.array([], pa.float64()) for c in RANGE}})
     return _best(np.empty((0, 0)), np.empty(0, int), ids, k, "", np.empty(0), np.empty(0))
 
 
@@ -255,8 +255,8 @@ def _best(score, clients, ids, k, name, low, high):
         score[rows, top] = -np.inf
     r, x, v = np.concatenate(r), np.concatenate(x), np.concatenate(v)
     return pa.table({
-        "client_id": pa.array(clients[r], pa.int32()), "model": pa.array([name] * len(r), pa.string()),
-        "product_id": pa.array(ids[x], pa.int32()), "score": pa.array(v),
+        "client_id": pa.array(clients[r], pa.int64()), "model": pa.array([name] * len(r), pa.string()),
+        "product_id": pa.array(ids[x], pa.int64()), "score": pa.array(v),
         "lo": pa.array(low[r]), "hi": pa.array(high[r])})
 
 

@@ -23,12 +23,12 @@ def _table(table: str, key: str, /, **columns) -> Table:
 
 PRODUCTS = _table(
     "products", "product_id",
-    product_id=IntegerType, name=StringType, category=StringType, brand=StringType,
+    product_id=LongType, name=StringType, category=StringType, brand=StringType,
     list_price=LongType, unit_cost=LongType, stock=IntegerType,
 )
 CLIENTS = _table(
     "clients", "client_id",
-    client_id=IntegerType, name=StringType, age=IntegerType, city=StringType,
+    client_id=LongType, name=StringType, age=IntegerType, city=StringType,
     signup_date=DateType, segment=StringType, channel=StringType,
 )
 PROMOTIONS = _table(
@@ -38,12 +38,12 @@ PROMOTIONS = _table(
 )
 SALES = _table(
     "sales", "sale_id",
-    sale_id=IntegerType, client_id=IntegerType, product_id=IntegerType, promo_id=IntegerType,
+    sale_id=LongType, client_id=LongType, product_id=LongType, promo_id=IntegerType,
     sale_date=DateType, quantity=IntegerType, unit_price=LongType, amount=LongType,
 )
 EVENTS = _table(
     "events", "event_id",
-    event_id=IntegerType, client_id=IntegerType, product_id=IntegerType,
+    event_id=LongType, client_id=LongType, product_id=LongType,
     ts=TimestampType, action=StringType,
 )
 
@@ -52,7 +52,7 @@ TABLES = {t.name: t for t in (PRODUCTS, CLIENTS, PROMOTIONS, SALES, EVENTS)}
 # One sale as it travels on the stream: flat, the date as text.
 SALE_EVENT = StructType([
     StructField("sale_id", StringType()),
-    StructField("client_id", IntegerType()),
+    StructField("client_id", LongType()),
     StructField("product", StringType()),
     StructField("category", StringType()),
     StructField("sale_date", StringType()),

@@ -52,7 +52,7 @@ class Star:
         cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
         key = F.col("p_partkey")
         return self.raw("part").select(
-            key.cast("int").alias("product_id"),
+            key.cast("bigint").alias("product_id"),
             F.col("p_name").alias("name"),
             F.col("p_type").alias("category"),
             F.col("p_brand").alias("brand"),
@@ -69,7 +69,7 @@ class Star:
             self.raw("customer")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(
-                key.cast("int").alias("client_id"),
+                key.cast("bigint").alias("client_id"),
                 F.col("c_name").alias("name"),
                 (18 + key % 58).cast("int").alias("age"),
                 "city",
@@ -90,10 +90,9 @@ class Star:
             "-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
 
     def sales_stream(self) -> DataFrame:
-        """The sales as a stream over the line item files, joined with the static tables."""
-        schema = self.raw("lineitem").schema
-        lines = self.spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet") \
-            .parquet(self.sf_dir)
+        """The sales as a stream over the line item table, one file or a folder of files, joined with the static tables."""
+        schema = self.raw("lineitem").schema  # also fails where there is no table
+        lines = self.spark.readStream.schema(schema).parquet(f"{self.sf_dir}/lineitem.parquet")
         return self._sales(_full_sale_id(), lines)
 
     def _sales(self, sale_id, lines: DataFrame | None = None) -> DataFrame:
@@ -102,7 +101,7 @@ class Star:
         lines = (self.raw("lineitem") if lines is None else lines).withColumn("promo_id", promo)
         orders = self.raw("orders").select(
             F.col("o_orderkey").alias("l_orderkey"),
-            F.col("o_custkey").cast("int").alias("client_id"),
+            F.col("o_custkey").cast("bigint").alias("client_id"),
             F.col("o_orderdate").cast("date").alias("sale_date"),
         )
         parts = self.raw("part").select(
@@ -116,7 +115,7 @@ class Star:
             .select(
                 sale_id.alias("sale_id"),
                 "client_id",
-                F.col("l_partkey").cast("int").alias("product_id"),
+                F.col("l_partkey").cast("bigint").alias("product_id"),
                 "promo_id",
                 "sale_date",
                 quantity.alias("quantity"),
@@ -131,8 +130,8 @@ class Star:
         viewed = F.regexp_extract("props", r'"k": ([0-9]+)', 1)
         return self.raw("events").select(
             "event_id",
-            F.col("user_id").cast("int").alias("client_id"),
-            F.when(~kind.isin("signup", "error"), viewed.try_cast("int")).alias("product_id"),
+            F.col("user_id").cast("bigint").alias("client_id"),
+            F.when(~kind.isin("signup", "error"), viewed.try_cast("bigint")).alias("product_id"),
             "ts",
             F.when(kind == "purchase", F.lit("add_to_cart")).otherwise(kind).alias("action"),
         )
