@@ -27,8 +27,8 @@ from tradewind.llm.tagger import Tagger, symbols
 
 KINDS = ("email", "ip", "card", "phone")
 SIZE, MARGIN = 64, 24
-#: Bounds of the training sample: windows of a row, windows in all.
-ROW_WINDOWS, WINDOWS = 4, 1600
+#: Bounds of the training sample: rows looked at (about, by a hash of the id), windows of a row, windows in all.
+SAMPLE_ROWS, ROW_WINDOWS, WINDOWS = 60_000, 4, 1600
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -161,8 +161,11 @@ def _sample(batches):
 
 
 def train(docs: DataFrame, steps: int = 200) -> Tagger | None:
-    """A tagger trained on at most WINDOWS windows of ``docs``; None if no base span is among them."""
-    rows = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
+    """A tagger trained on at most WINDOWS windows of ``docs``; None if no base span is among them. What reaches one
+    task follows the bounds, not the table."""
+    share = min(1.0, SAMPLE_ROWS / max(1, docs.count()))
+    chosen = F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+    rows = docs.select("doc_id", "text").where(chosen & F.col("text").rlike("[0-9@]"))
     sample = rows.mapInPandas(_sample, "at bigint, window string, tags binary").orderBy("at", "window").limit(WINDOWS).collect()
     x = symbols([r["window"] for r in sample], SIZE)
     y = np.array([np.frombuffer(bytes(r["tags"]), np.int8) for r in sample], np.int64).reshape(-1, SIZE)
