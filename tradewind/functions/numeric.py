@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Similarities and profile weights are summed as integers of this scale, so that
-# totals do not depend on the order in which partitions arrive.
+# Similarities and profile weights are summed as whole numbers of these scales, so that
+# totals do not depend on the order in which partitions arrive. A similarity has no lower
+# bound, so its scale is that of a double's mantissa: 2^-52 is still an edge.
 SCORE_SCALE = 1_000_000_000
+EDGE_BITS = 52
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -29,9 +31,9 @@ def whole(col: Column) -> Column:
     return F.bround(col, 0).cast("bigint")
 
 
-def fixed_point(col: Column) -> Column:
-    """Non-negative double to a long of ``SCORE_SCALE``."""
-    return F.floor(col * F.lit(float(SCORE_SCALE)) + F.lit(0.5).cast("double")).cast("bigint")
+def fixed_point(col: Column, scale: int = SCORE_SCALE) -> Column:
+    """Non-negative double to a long of ``scale``."""
+    return F.floor(col * F.lit(float(scale)) + F.lit(0.5).cast("double")).cast("bigint")
 
 
 def dbl(value: float) -> Column:

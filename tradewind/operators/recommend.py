@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tradewind.functions.numeric import checked_k, fixed_point
+from tradewind.functions.numeric import EDGE_BITS, checked_k, fixed_point
 from tradewind.functions.storage import materialize
 from tradewind.operators.history import leave_last_out, popular_recs, popularity, purchase_history
 from tradewind.operators.similarity import _codes, content_features, purchase_similarity
@@ -50,7 +50,7 @@ def recommend(history: DataFrame, products: DataFrame, k: int = 5,
     links = None
     if use_collab:
         edges = purchase_similarity(history) if edges is None else edges
-        links = materialize(edges.select("i", "j", fixed_point(F.col("sim")).alias("s")), "edges")
+        links = materialize(edges.select("i", "j", fixed_point(F.col("sim"), 1 << EDGE_BITS).alias("s")), "edges")
     scored = history.join(wanted.select("client_id").distinct(), "client_id", "left_semi") if wanted is not None else history
     n_products, n_history = products.count(), max(1, scored.count())
     n_links = links.count() if links is not None else 0
@@ -106,14 +106,13 @@ def recommend(history: DataFrame, products: DataFrame, k: int = 5,
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
             .withColumn("score", F.coalesce(scaled, F.lit(0.0).cast("double")))
     else:
-        if blocks > 1:
-            # the range of a client's scores spans all blocks: find it first, then score
-            low_high = cogrouped(lambda a, b: _score_block(a, b, k, models, "range"),
-                                 "client_id bigint, cf_lo double, cf_hi double, ct_lo double, ct_hi double")
-            ranges = materialize(low_high.groupBy("client_id").agg(
-                F.min("cf_lo").alias("cf_lo"), F.max("cf_hi").alias("cf_hi"),
-                F.min("ct_lo").alias("ct_lo"), F.max("ct_hi").alias("ct_hi")), "ranges")
-            sides = sides.join(ranges, "client_id")
+        # the range of a client's scores spans all blocks: find it first, then score
+        low_high = cogrouped(lambda a, b: _score_block(a, b, k, models, "range"),
+                             "client_id bigint, cf_lo double, cf_hi double, ct_lo double, ct_hi double")
+        ranges = materialize(low_high.groupBy("client_id").agg(
+            F.min("cf_lo").alias("cf_lo"), F.max("cf_hi").alias("cf_hi"),
+            F.min("ct_lo").alias("ct_lo"), F.max("ct_hi").alias("ct_hi")), "ranges")
+        sides = sides.join(ranges, "client_id")
         found = cogrouped(lambda a, b: _score_block(a, b, k, models, "scaled"), columns) \
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return found.select("client_id", "model", "rank", "product_id", F.round("score", 9).alias("score"))
@@ -135,8 +134,8 @@ def _score_block(left: pa.Table, right: pa.Table, k: int, models: dict[str, floa
 
     ``range`` returns the range of both scores over unbought products, ``raw`` the best
     products by unscaled score together with that range, ``scaled`` the best by mixed
-    scaled scores. Sums are whole numbers below 2^53 held in doubles, hence exact and
-    free of order.
+    scaled scores. Sums of similarities are kept in two halves, each a whole number below
+    2^53 held in a double up to 2^27 purchases of a client, hence exact and free of order.
     """
     col = lambda t, c: t.column(c).to_numpy()
     use_collab, use_content = any(a != 0 for a in models.values()), any(a != 1 for a in models.values())
@@ -216,8 +215,10 @@ def _score_block(left: pa.Table, right: pa.Table, k: int, models: dict[str, floa
 
 
 def _gather(who, n, lo, hi, link_x, link_s, size, width):
-    """Sum of ``n * s`` over the edges of every history row, in bounded steps."""
-    total = np.zeros(size * width)
+    """Sum of ``n * s`` over the edges of every history row, in bounded steps. The upper and
+    lower halves of ``s`` are summed apart and meet once."""
+    half = EDGE_BITS // 2
+    upper, lower = np.zeros(size * width), np.zeros(size * width)
     length = hi - lo
     cuts = np.searchsorted(np.cumsum(length), np.arange(GATHER, length.sum() + GATHER, GATHER), "left") + 1
     a = 0
@@ -226,10 +227,11 @@ def _gather(who, n, lo, hi, link_x, link_s, size, width):
         inside = np.arange(part.sum()) - np.repeat(np.cumsum(part) - part, part)
         edge = np.repeat(lo[a:b], part) + inside
         cell = np.repeat(who[a:b] * width, part) + link_x[edge]
-        weights = np.repeat(n[a:b], part) * link_s[edge]
-        total += np.bincount(cell, weights, size * width)
+        times = np.repeat(n[a:b], part)
+        upper += np.bincount(cell, times * (link_s[edge] >> half), size * width)
+        lower += np.bincount(cell, times * (link_s[edge] & ((1 << half) - 1)), size * width)
         a = b
-    return total.reshape(size, width)
+    return (upper * float(1 << half) + lower).reshape(size, width)
 
 
 def _scaled(x, low, high):
@@ -260,13 +262,21 @@ def _best(score, clients, ids, k, name, low, high):
         "lo": pa.array(low[r]), "hi": pa.array(high[r])})
 
 
-def recommend_or_popular(clients: DataFrame, sales: DataFrame, products: DataFrame, k: int = 5) -> DataFrame:
-    """Hybrid recommendations for known clients, best sellers for clients without a purchase."""
+def with_names(answers: DataFrame, products: DataFrame, of: str = "product_id") -> DataFrame:
+    """Answers with the name and category of the product that column ``of`` tells."""
+    names = products.select(F.col("product_id").alias("_of"), "name", "category")
+    return answers.join(names, F.col(of) == F.col("_of"), "left").drop("_of")
+
+
+def recommend_or_popular(clients: DataFrame, sales: DataFrame | None, products: DataFrame, k: int = 5,
+                         history: DataFrame | None = None, edges: DataFrame | None = None) -> DataFrame:
+    """Hybrid recommendations for known clients, best sellers for clients without a purchase. ``history`` and ``edges``
+    are learned from ``sales`` unless given, as when they were published before."""
     checked_k(k)
-    history = materialize(purchase_history(sales), "history")
+    history = materialize(purchase_history(sales), "history") if history is None else history
     asked = clients.select("client_id").distinct()
     sizes = history.groupBy("client_id").agg(F.sum("n").alias("n_known"))
-    personal = recommend(history, products, k, wanted=asked) \
+    personal = recommend(history, products, k, edges=edges, wanted=asked) \
         .join(sizes, "client_id").select("client_id", F.lit("hybrid").alias("source"), "n_known", "rank", "product_id")
     top = popularity_list(history, products.sparkSession, k)
     cold = asked.join(sizes, "client_id", "left_anti") \

@@ -12,6 +12,8 @@ from tradewind.functions.storage import fresh_path, materialize
 from tradewind.operators import (
     cleaning, drift, forecast, history, metrics, pricing, profile, quality, recommend, series, similarity, stock,
 )
+from tradewind.functions.text import grouped_digits, month_label
+from tradewind.sources import reports
 from tradewind.sources.star import SALES_WINDOW, Star
 from tradewind.streaming import sales_stream
 
@@ -104,6 +106,12 @@ def revenue_by_month(s: Star) -> DataFrame:
     return metrics.revenue_by_month(s.sales)
 
 
+@query
+def revenue_by_month_labelled(s: Star) -> DataFrame:
+    return metrics.revenue_by_month(s.sales).select(
+        "month", month_label(F.col("month")).alias("label"), "revenue", grouped_digits(F.col("revenue")).alias("shown"))
+
+
 @query
 def promo_impact_sales_flag(s: Star) -> DataFrame:
     return metrics.promo_impact_sales_flag(s.sales)
@@ -364,6 +372,24 @@ def client_recs_with_cold_start(s: Star) -> DataFrame:
     return recommend.recommend_or_popular(_with_unknown(s.clients.select("client_id")), s.sales, s.products, K)
 
 
+@query
+def served_recs(s: Star) -> DataFrame:
+    """Models published as tables, then every client and an unknown one answered from those tables alone."""
+    folder = fresh_path(s.spark, "models")
+    reports.publish_models(_stored_sales(s, "client_id", "product_id"), s.products, folder)
+    return reports.serve_recommendations(s.spark, folder, _with_unknown(s.clients.select("client_id")), K)
+
+
+@query
+def similar_products_requested(s: Star) -> DataFrame:
+    return similarity.similar_to(_with_unknown(s.products.select("product_id")), s.products, K)
+
+
+@query
+def bought_together_named(s: Star) -> DataFrame:
+    return recommend.with_names(bought_together(s), s.products, "neighbour_id")
+
+
 @query
 def client_history(s: Star) -> DataFrame:
     return history.client_history(_history(s), s.products, _with_unknown(s.clients.select("client_id")))
@@ -449,6 +475,13 @@ def published_forecast(s: Star) -> DataFrame:
     return forecast.published_forecast(materialize(daily_demand(s), "demand"))
 
 
+@query
+def forecast_view(s: Star) -> DataFrame:
+    """The last 90 days of actuals and the forecast of every category."""
+    rows = materialize(published_forecast(s), "published")
+    return forecast.forecast_view(rows, None, 90)
+
+
 @query
 def stock_cover_forecast(s: Star) -> DataFrame:
     rows = materialize(published_forecast(s), "published")

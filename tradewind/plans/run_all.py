@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.functions.storage import materialize
-from tradewind.operators import drift, forecast, pricing, quality, series, stock
+from tradewind.operators import drift, forecast, metrics, pricing, quality, series, stock
 from tradewind.sources import lake as lake_tables
 from tradewind.sources.reports import publish_models, read_report, write_report
 
@@ -27,6 +27,12 @@ def run_all(spark: SparkSession, csv_dir: str, lake: str, reports: str, window:
     write_report(pricing.price_advice(states), f"{reports}/price_advice")
     write_report(pricing.product_prices(states, products), f"{reports}/product_prices")
 
+    write_report(metrics.kpi_summary(sales, products, events), f"{reports}/kpis")
+    for name, report in (
+            ("revenue_by_category", metrics.revenue_by_category(sales, products)),
+            ("revenue_by_month", metrics.revenue_by_month(sales)),
+            ("promo_impact", metrics.promo_impact_sales_flag(sales))):
+        write_report(report, f"{reports}/{name}")
     publish_models(sales, products, f"{reports}/models")
     write_report(drift.drift_report(sales, products), f"{reports}/drift")
     published = read_report(spark, f"{reports}/forecast").where("kind = 'forecast'")

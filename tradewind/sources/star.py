@@ -92,7 +92,8 @@ class Star:
     def sales_stream(self) -> DataFrame:
         """The sales as a stream over the line item table, one file or a folder of files, joined with the static tables."""
         schema = self.raw("lineitem").schema  # also fails where there is no table
-        lines = self.spark.readStream.schema(schema).parquet(f"{self.sf_dir}/lineitem.parquet")
+        # a stream takes a plain path for a folder; a pattern may match a folder or a single file
+        lines = self.spark.readStream.schema(schema).parquet(f"{self.sf_dir}/lineitem.parque[t]")
         return self._sales(_full_sale_id(), lines)
 
     def _sales(self, sale_id, lines: DataFrame | None = None) -> DataFrame:
