@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false"))
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
