@@ -19,7 +19,8 @@ from tradewind.llm import exact, mixing, neardup, packing, toxicity
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Trained on the labels of the corpus; a document whose score is 0.3 or more goes."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    scored = toxicity.score(docs, model, names=("_toxicity", "_toxic"))  # columns of documents may have the plain names
+    return scored.where("_toxic = 0").select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

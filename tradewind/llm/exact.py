@@ -181,7 +181,7 @@ def drop(docs: DataFrame) -> DataFrame:
     rest = without(docs, lost.unionByName(again))
     sha = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", "").cast("binary"), 256)
     kept = found.where("kept").join(again, "doc_id", "left_semi").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    repeated = only_wanted(docs, again).withColumn("_own", sha).dropDuplicates(["doc_id", "_own"])
-    repeated = repeated.join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_semi")
+        F.col("doc_id").alias("_copy_id"), F.col("text_sha256").alias("_kept_sha")).distinct()
+    repeated = only_wanted(docs, again).withColumn("_copy_sha", sha).dropDuplicates(["doc_id", "_copy_sha"])
+    repeated = repeated.join(kept, (F.col("doc_id") == F.col("_copy_id")) & (F.col("_copy_sha") == F.col("_kept_sha")), "left_semi")
     return rest.unionByName(repeated.select(*docs.columns))

@@ -243,9 +243,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return fit([tuple(r) for r in training_rows(docs, labels).collect()])
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.3, column: str = "text") -> DataFrame:
-    """Every column of ``docs`` and ``score``, ``predicted``; columns of these names are replaced."""
-    kept = [c for c in docs.columns if c not in ("score", "predicted")]
+def score(docs: DataFrame, model: Model, threshold: float = 0.3, column: str = "text",
+          names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """Every column of ``docs`` and the two of ``names``; columns of these names are replaced."""
+    kept = [c for c in docs.columns if c not in names]
     docs = docs.select(*kept)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
 
@@ -256,7 +257,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, column: str = "
             p = shared.value.probability(worst)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32), pa.int32())],
-                names=[*batch.schema.names, "score", "predicted"])
+                names=[*batch.schema.names, *names])
 
-    out = StructType([*docs.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
+    out = StructType([*docs.schema.fields, StructField(names[0], DoubleType()), StructField(names[1], IntegerType())])
     return docs.mapInArrow(run, out)
