@@ -27,50 +27,51 @@ import numpy as np
 
 MAGIC = b"TWI1"
 NO_ID = -(2**63)
-LANES, LEAST = 2048, 64
+LANES, LEAST = 4096, 64
 _HASHED = 18
 _SURE = 7
 _TOP, _LOW, _DIGIT = 48, 32, 16
 _FAST, _CAP = 24, 1 << 15
-_GAIN, _FRESH = 8, 4
+_GAIN, _FRESH = 8, 8
 
 
 class _Model:
+    """A table entry is an id, shifted by three bits, and its confidence."""
+
     def __init__(self, vocabulary: int, lanes: int):
-        self.guess = [np.zeros(1 << _HASHED, np.int64), np.zeros(vocabulary, np.int64)]
-        self.trust = [np.zeros(1 << _HASHED, np.int64), np.zeros(vocabulary, np.int64)]
-        self.mixed = np.ones(((_SURE + 1) * (_SURE + 1) * 2, 3), np.int64) * 4
+        self.second, self.first = np.zeros(1 << _HASHED, np.int64), np.zeros(vocabulary, np.int64)
+        self.mixed = np.full((3, (_SURE + 1) * (_SURE + 1) * 2), 4, np.int64)
         self.count = np.ones(vocabulary, np.int64)
+        self.below = np.zeros(vocabulary + 1, np.int64)
         self.step = 0
         self.two, self.one = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self._refresh()
 
     def _refresh(self) -> None:
-        self.below = np.concatenate(([0], np.cumsum(self.count)))
+        np.cumsum(self.count, out=self.below[1:])
 
     def look(self):
-        """(guesses of order 2, of order 1, mixing counters) for each lane."""
-        self.at = [(self.two * 40503 + self.one * 2654435761 >> 7) & ((1 << _HASHED) - 1), self.one]
-        g2, g1 = (g[a] for g, a in zip(self.guess, self.at, strict=True))
-        t2, t1 = (t[a] for t, a in zip(self.trust, self.at, strict=True))
-        self.row = (t2 * (_SURE + 1) + t1) * 2 + (g2 == g1)
-        self.guessed, self.trusted = (g2, g1), (t2, t1)
-        f = self.mixed[self.row]
-        return g2, g1, f
+        """Guesses of order 2 and of order 1 for each lane, and the counters of being right: order 2, order 1, neither."""
+        self.at = (self.two * 40503 + self.one * 2654435761 >> 7) & ((1 << _HASHED) - 1)
+        self.seen2, self.seen1 = self.second[self.at], self.first[self.one]
+        self.guess2, self.guess1 = self.seen2 >> 3, self.seen1 >> 3
+        self.row = ((self.seen2 & 7) * 8 + (self.seen1 & 7)) * 2 + (self.guess2 == self.guess1)
+        return self.guess2, self.guess1, self.mixed[0][self.row], self.mixed[1][self.row], self.mixed[2][self.row]
 
     def learn(self, ids: np.ndarray, kind: np.ndarray) -> None:
-        np.add.at(self.mixed, (self.row, kind), _FAST)
-        full = np.flatnonzero(self.mixed.sum(1) > _CAP)
+        rows = self.mixed.shape[1]
+        self.mixed += _FAST * np.bincount(kind * rows + self.row, minlength=3 * rows).reshape(3, rows)
+        full = np.flatnonzero(self.mixed.sum(0) > _CAP)
         if len(full):
-            self.mixed[full] = (self.mixed[full] + 1) >> 1
-        for guess, trust, at, g, t in zip(self.guess, self.trust, self.at, self.guessed, self.trusted, strict=True):
-            hit = g == ids
-            new = ~hit & (t == 0)
-            trust[at] = np.where(hit, np.minimum(t + 1, _SURE), np.where(new, 1, t - 1 - (t > 3)))
-            guess[at[new]] = ids[new]
+            self.mixed[:, full] = (self.mixed[:, full] + 1) >> 1
+        fresh = (ids << 3) | 1
+        for table, at, seen, guess in ((self.second, self.at, self.seen2, self.guess2), (self.first, self.one, self.seen1, self.guess1)):
+            trust = seen & 7
+            worse = np.where(trust == 0, fresh, seen - 1 - (trust > 3))
+            table[at] = np.where(guess == ids, seen + (trust < _SURE), worse)
         np.add.at(self.count, ids, _GAIN)
         self.step += 1
-        if self.step % _FRESH == 0 or self.step < 2 * _FRESH:
+        if self.step % _FRESH == 0 or self.step < _FRESH:
             self._refresh()
         self.two, self.one = self.one, ids
 
@@ -92,34 +93,44 @@ def encode(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     low, wide = np.zeros(lanes, np.int64), np.full(lanes, 1 << _TOP, np.int64)
 
     def put(start, share, total, who) -> None:
-        r = wide[who] // total
-        at = low[who] + r * start
+        """Narrow the ranges of the lanes ``who``; None stands for all."""
+        nonlocal low, wide
+        mine, width = (low, wide) if who is None else (low[who], wide[who])
+        r = width // total
+        mine = mine + r * start
         width = r * share
-        over = at >> _TOP
-        carry = who[over > 0]
-        digits[carry, filled[carry] - 1] += 1
-        at &= (1 << _TOP) - 1
-        low[who], wide[who] = at, width
-        small = who[width < 1 << _LOW]
+        carry = np.flatnonzero(mine >> _TOP)
+        if len(carry):
+            lanes_ = carry if who is None else who[carry]
+            digits[lanes_, filled[lanes_] - 1] += 1
+            mine &= (1 << _TOP) - 1
+        small = np.flatnonzero(width < 1 << _LOW)
         while len(small):
-            digits[small, filled[small]] = low[small] >> _LOW
-            filled[small] += 1
-            low[small] = (low[small] & ((1 << _LOW) - 1)) << _DIGIT
-            wide[small] <<= _DIGIT
-            small = small[wide[small] < 1 << _LOW]
+            lanes_ = small if who is None else who[small]
+            top = mine[small]
+            digits[lanes_, filled[lanes_]] = top >> _LOW
+            filled[lanes_] += 1
+            mine[small] = (top & ((1 << _LOW) - 1)) << _DIGIT
+            width[small] <<= _DIGIT
+            small = small[width[small] < 1 << _LOW]
+        if who is None:
+            low, wide = mine, width
+        else:
+            low[who], wide[who] = mine, width
 
     everyone = np.arange(lanes)
     for now in grid:
-        g2, g1, f = model.look()
-        kind = np.where(now == g2, 0, np.where(now == g1, 1, 2))
-        share = f[everyone, kind]
-        total = f.sum(1)
-        start = np.where(kind == 0, 0, np.where(kind == 1, f[:, 0], f[:, 0] + f[:, 1]))
-        put(start, share, total, everyone)
+        g2, g1, f0, f1, f2 = model.look()
+        hit2, hit1 = now == g2, now == g1
+        kind = np.where(hit2, 0, np.where(hit1, 1, 2))
+        share = np.where(hit2, f0, np.where(hit1, f1, f2))
+        start = np.where(hit2, 0, np.where(hit1, f0, f0 + f1))
+        put(start, share, f0 + f1 + f2, None)
         rest = np.flatnonzero(kind == 2)
         if len(rest):
             these, below = now[rest], model.below
-            put(below[these], below[these + 1] - below[these], below[-1], rest)
+            first = below[these]
+            put(first, below[these + 1] - first, below[-1], rest)
         model.learn(now, kind)
     for k in range(2, -1, -1):
         digits[everyone, filled] = low >> (_DIGIT * k) & 0xFFFF
@@ -156,35 +167,37 @@ def decode(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     model = _Model(vocabulary, lanes)
     grid = np.empty((steps, lanes), np.int64)
 
-    def took(r, start, share, who) -> None:
-        code[who] -= r * start
-        width = r * share
-        wide[who] = width
-        small = who[width < 1 << _LOW]
+    def more(mine, width, who) -> None:
+        small = np.flatnonzero(width < 1 << _LOW)
         while len(small):
-            code[small] = (code[small] << _DIGIT) | body[next_[small]]
-            next_[small] += 1
-            wide[small] <<= _DIGIT
-            small = small[wide[small] < 1 << _LOW]
+            lanes_ = small if who is None else who[small]
+            mine[small] = (mine[small] << _DIGIT) | body[next_[lanes_]]
+            next_[lanes_] += 1
+            width[small] <<= _DIGIT
+            small = small[width[small] < 1 << _LOW]
 
-    everyone = np.arange(lanes)
     for t in range(steps):
-        g2, g1, f = model.look()
-        total = f.sum(1)
+        g2, g1, f0, f1, f2 = model.look()
+        two = f0 + f1
+        total = two + f2
         r = wide // total
-        goal = np.minimum(code // r, total - 1)
-        one = f[:, 0]
-        two = one + f[:, 1]
-        kind = (goal >= one).astype(np.int64) + (goal >= two)
-        start = np.where(kind == 0, 0, np.where(kind == 1, one, two))
-        took(r, start, f[everyone, kind], everyone)
-        now = np.where(kind == 0, g2, g1)
-        rest = np.flatnonzero(kind == 2)
+        goal = code // r
+        miss2, miss1 = goal >= f0, goal >= two
+        kind = miss2.astype(np.int64) + miss1
+        code -= r * np.where(miss1, two, np.where(miss2, f0, 0))
+        wide = r * np.where(miss1, f2, np.where(miss2, f1, f0))
+        more(code, wide, None)
+        now = np.where(miss2, g1, g2)
+        rest = np.flatnonzero(miss1)
         if len(rest):
-            below = model.below
-            r = wide[rest] // below[-1]
-            these = np.searchsorted(below, np.minimum(code[rest] // r, below[-1] - 1), "right") - 1
-            took(r, below[these], below[these + 1] - below[these], rest)
+            below, mine, width = model.below, code[rest], wide[rest]
+            r = width // below[-1]
+            these = np.searchsorted(below, np.minimum(mine // r, below[-1] - 1), "right") - 1
+            first = below[these]
+            mine -= r * first
+            width = r * (below[these + 1] - first)
+            more(mine, width, rest)
+            code[rest], wide[rest] = mine, width
             now[rest] = these
         grid[t] = now
         model.learn(now, kind)

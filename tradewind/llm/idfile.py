@@ -39,13 +39,14 @@ def _blocks(vocabulary: str, end: int, size: int):
 
         coder = encoder(vocabulary)
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                ids = np.append(coder.encode(text.as_py()), np.uint32(end))
+            texts = coder.encode_many(batch.column("text").to_pylist())
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+                ids = np.append(ids, np.uint32(end))
                 if n and n + len(ids) > size:
                     yield close()
                     block, held, docs, n = block + 1, [], [], 0
                 held.append(ids)
-                docs.append(codec.NO_ID if doc_id.as_py() is None else doc_id.as_py())
+                docs.append(codec.NO_ID if doc_id is None else doc_id)
                 n += len(ids)
         if docs:
             yield close()

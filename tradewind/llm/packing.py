@@ -49,8 +49,9 @@ def _pieces(vocabulary: str, end: int, limit: int, with_ids: bool):
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             coder, out = encoder(vocabulary), []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = np.append(coder.encode(text), np.uint32(end)).astype("<u4")
+            texts = coder.encode_many(batch.column("text").to_pylist())
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+                ids = np.append(ids, np.uint32(end)).astype("<u4")
                 for k, (at, n) in enumerate(cut(len(ids), limit)):
                     own = ids[at:at + n]
                     row = (doc_id, k, at, n, zlib.crc32(own.tobytes()), part, seen[n])

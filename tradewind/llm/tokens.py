@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -25,6 +26,8 @@ _CUT = re.compile(r"(?<=[!-~À-ÖØ-öø-ſ])(?=[ \n])")
 class Encoder:
     #: Distinct chunks kept; beyond it the store is begun anew.
     KEPT = 1_000_000
+    #: Characters of text cut at a time.
+    SLICE = 1 << 21
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -55,27 +58,48 @@ class Encoder:
             self.filled += total
             self.known.update(zip(part, range(k, k + len(ids)), strict=True))
 
-    def encode(self, text: str | None) -> np.ndarray:
+    def _keys(self, text: str | None) -> list[str]:
         if not text:
-            return np.zeros(0, np.uint32)
+            return []
         if _WORDS.fullmatch(text):
-            keys = (text.lower() if self.lower else text).replace(",", " \0,").replace(".", " \0.").replace("\n", " \n").split(" ")
-            keys[0] = "\0" + keys[0]
+            text = text.lower() if self.lower else text
+            keys = text.replace(",", " \0,").replace(".", " \0.").replace("\n", " \n").split(" ")
         elif _PLAIN.fullmatch(text):
             keys = (text.lower() if self.lower else text).replace("\n", " \n").split(" ")
-            keys[0] = "\0" + keys[0]
         else:
-            keys = ["\0" + c for c in _CUT.split(text)]
-        try:
-            codes = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
-        except KeyError:
-            if len(self.known) > self.KEPT:
+            return ["\0" + c for c in _CUT.split(text)]
+        keys[0] = "\0" + keys[0]
+        return keys
+
+    def encode_many(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text, some SLICE characters of texts at a time."""
+        first = 0
+        while first < len(texts):
+            last, size = first, 0
+            while last < len(texts) and (last == first or size < self.SLICE):
+                size += len(texts[last] or "")
+                last += 1
+            yield from self._encode([self._keys(t) for t in texts[first:last]])
+            first = last
+
+    def _encode(self, rows: list[list[str]]) -> Iterator[np.ndarray]:
+        new = set(chain.from_iterable(rows)).difference(self.known)
+        if new:
+            if len(self.known) + len(new) > self.KEPT:
                 self._reset()
-            self._learn([k for k in dict.fromkeys(keys) if k not in self.known])
-            codes = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+                new = set(chain.from_iterable(rows))
+            self._learn(sorted(new))
+        counts = np.fromiter(map(len, rows), np.int64, len(rows))
+        codes = np.fromiter(map(self.known.__getitem__, chain.from_iterable(rows)), np.int64, int(counts.sum()))
         n = self.length[codes]
-        ends = np.cumsum(n)
-        return self.flat[np.repeat(self.start[codes] - (ends - n), n) + np.arange(int(ends[-1]))]
+        ends = np.append(0, np.cumsum(n))
+        ids = self.flat[np.repeat(self.start[codes] - ends[:-1], n) + np.arange(int(ends[-1]))]
+        cuts = ends[np.append(0, np.cumsum(counts))].tolist()
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield ids[a:b]
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return next(self.encode_many([text]))
 
 
 _encoders: dict[str, Encoder] = {}
