@@ -27,7 +27,7 @@ import numpy as np
 
 MAGIC = b"TWI1"
 NO_ID = -(2**63)
-LANES, LEAST = 4096, 64
+LANES, LEAST = 4096, 256
 _HASHED = 18
 _SURE = 7
 _TOP, _LOW, _DIGIT = 48, 32, 16
