@@ -1,4 +1,4 @@
-"""Near duplicates by a grouped prefix join on five-word shingles, at a Jaccard similarity of THREE / FOUR or more.
+"""Near duplicates by a grouped prefix join on five-word shingles, at a Jaccard similarity of 0.75 or more.
 
 A document is the set of its distinct shingles (see ``words``). Shingles have one order for all: rare ones first, by
 hash, then the HEAVY most common ones by count. Counts come from the whole corpus: every task counts its shingles and
@@ -7,13 +7,19 @@ reports those it has twice or more. The order decides only how many candidates t
 1. Prefixes. Two sets that are similar enough share a shingle among the first n - ceil(3n/4) + 1 of each. Documents with
    the same prefix and size are one group and send their prefix once per task.
 2. Group pairs. A shingle that only one group has is dropped at once, in the shuffle that brings equal shingles together.
-3. Members. Equal sets are one class. First each group is compared with one other, the one most of its shingles name as
-   the smallest of their kind: that ties crowds of near copies together with one check per member. Then all pairs that
-   share a prefix shingle, pass the length and positional filters and are not tied already are expanded to their
-   members and checked on the whole sets. A pair left out is already joined by checked links, so the components are
-   those of all links.
+3. Members. Equal sets are one class. First each group is compared with one other, the hub that most of its shingles
+   name: the group in whose prefix the shingle stands first, which has the fewest shingles of its own. In a crowd of near
+   copies that is the text they were made from, so one check per member ties the crowd together. Then all pairs that
+   share prefix shingles, pass the length filter, the positional filter and the overlap filter and are not tied already
+   are expanded to their members and checked on the whole texts. A pair left out is already joined by checked links, so
+   the components are those of all links.
 4. Components are found by rounds of joins; every class takes its component, every document its class.
 
+Positional filter: in the prefix of x a shingle stands behind the shared ones before it (no other can be in y) and before
+the rest of x, so with any set that has it too x shares at most their number and the rest. Overlap filter: let the
+prefix of x end before that of y in the common order. What they share lies in both prefixes, where it was counted, or
+behind the prefix of x; so they share at most the count and what x has behind its prefix.
+
 Defined results: null and empty texts, and texts without words, have no shingles and stay alone, as their own component.
 One to four words are one shingle. Rows that share a doc_id count as one document with all their links. A row without
 doc_id gets the component of the documents with an equal set, otherwise null, and links nothing. An empty table gives
@@ -85,7 +91,8 @@ _PREFIX = "token bigint, g bigint, n int, pos int, key binary"
 
 
 def _prefixes(common: np.ndarray, rank: np.ndarray):
-    """Rows (shingle, group, size, place) of the prefixes, and one (group, key) row with place -1 for each set."""
+    """Rows (shingle, group, size, place) of the prefixes, and for each set one row (end of the prefix in the order of
+    shingles, group, size, -1, key)."""
     def run(batches):
         seen: set[bytes] = set()
         for batch in batches:
@@ -111,13 +118,15 @@ def _prefixes(common: np.ndarray, rank: np.ndarray):
                     at = np.minimum(np.searchsorted(common, own), len(common) - 1)
                     heavy = common[at] == own
                     first = own[~heavy][:k]
-                    if len(first) < k:
-                        first = np.concatenate([first, own[heavy][np.argsort(rank[at[heavy]], kind="stable")][:k - len(first)]])
+                    ranks = np.sort(rank[at[heavy]])[:k - len(first)]
+                    last = (1 << 62) + int(ranks[-1]) if len(ranks) else int(first[-1] >> np.uint64(2))
+                    if len(ranks):
+                        first = np.concatenate([first, own[heavy][np.argsort(rank[at[heavy]], kind="stable")][:len(ranks)]])
                 else:
-                    first = own[:k]
+                    first, last = own[:k], int(own[k - 1] >> np.uint64(2))
                 g = int.from_bytes(hashlib.blake2b(first.tobytes(), digest_size=8, salt=len(own).to_bytes(8, "big")).digest(),
                                    "big", signed=True)
-                tokens.append(np.append(first.view(np.int64), g))
+                tokens.append(np.append(first.view(np.int64), last))
                 groups.append(np.full(k + 1, g, np.int64))
                 sizes.append(np.full(k + 1, len(own), np.int64))
                 places.append(np.append(np.arange(k), -1))
@@ -131,19 +140,17 @@ def _prefixes(common: np.ndarray, rank: np.ndarray):
     return run
 
 
-def _sets(batches):
+def _keyed(batches):
+    """The hash of the set beside each text."""
     for batch in batches:
-        sets = list(shingle_sets(batch.column("text")))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([_key(s) if len(s) else None for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-            names=["key", "own"])
+        keys = [_key(s) if len(s) else None for s in shingle_sets(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column("text")], names=["key", "text"])
 
 
 def _similar(batches):
     for batch in batches:
         good = []
-        for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+        for x, y in zip(shingle_sets(batch.column("x")), shingle_sets(batch.column("y")), strict=True):
             both = np.concatenate([x, y])
             both.sort()
             shared = int((both[1:] == both[:-1]).sum())
@@ -151,13 +158,24 @@ def _similar(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) of ``pairs`` (a, ka, b, kb) whose sets are similar enough."""
-    one = pairs.join(sets.select(F.col("key").alias("ka"), F.col("own").alias("x")), "ka")
-    two = one.join(sets.select(F.col("key").alias("kb"), F.col("own").alias("y")), "kb")
+def _checked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b) of ``pairs`` (a, ka, b, kb) whose sets are similar enough. Texts travel, not sets: compressed they are
+    less than half as long as eight bytes for each word."""
+    pairs = stored(pairs, "pairs")
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+    texts = stored(only_wanted(docs, ids).select("text").mapInArrow(_keyed, "key binary, text string"), "texts")
+    one = pairs.join(texts.select(F.col("key").alias("ka"), F.col("text").alias("x")), "ka")
+    two = one.join(texts.select(F.col("key").alias("kb"), F.col("text").alias("y")), "kb")
     return two.select("a", "b", "x", "y").mapInArrow(_similar, "a bigint, b bigint")
 
 
+def _enough(count: str, n: str, last: str, n2: str, last2: str):
+    """The length and overlap filters for two sets of which ``count`` shingles of the prefixes are shared."""
+    behind, behind2 = (F.floor((3 * F.col(c) + 3) / 4) - 1 for c in (n, n2))
+    most = F.when(F.col(last) < F.col(last2), behind).when(F.col(last) > F.col(last2), behind2).otherwise(F.greatest(behind, behind2))
+    return ((4 * F.least(n, n2) >= 3 * F.greatest(n, n2)) & (7 * (F.col(count) + most) >= 3 * (F.col(n) + F.col(n2))))
+
+
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -177,48 +195,58 @@ def find(docs: DataFrame) -> DataFrame:
     rows = docs.select("text").mapInArrow(prefixes, _PREFIX)
     rows = rows.withColumn("lo", F.min("g").over(each)).withColumn("hi", F.max("g").over(each)).where("pos < 0 or lo <> hi")
     kind = F.floor(F.log(F.col("n")) / F.log(F.lit(4 / 3)))  # sizes of one kind can be similar
-    rows = rows.drop("lo", "hi").withColumn("kind", kind).withColumn("hub", F.min("g").over(alike)).drop("kind")
+    rows = rows.drop("lo", "hi").withColumn("kind", kind).withColumn("hub", F.min(F.struct("pos", "g")).over(alike)["g"]).drop("kind")
     shared = stored(rows.distinct(), "shared-shingles")
 
     classes = stored(census.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep")), "classes")
-    members = shared.where("pos < 0").select("g", "n", "key").distinct().join(classes.where("rep is not null"), "key")
+    members = shared.where("pos < 0").select("g", "n", "key", F.col("token").alias("last")).distinct().join(classes.where("rep is not null"), "key")
     members = stored(members, "members")
-    groups = members.groupBy("g").agg(F.min(F.struct("rep", "key")).alias("first"), F.count("*").alias("many"))
+    groups = members.groupBy("g", "n", "last").agg(F.min(F.struct("rep", "key")).alias("first"), F.count("*").alias("many"))
     met = shared.where("pos >= 0").select(F.col("g").alias("met_g")).distinct()
     active = groups.join(met, F.col("g") == F.col("met_g"), "left").where("met_g is not null or many > 1")
-    active = stored(active.select("g", F.col("first.rep").alias("lead"), F.col("first.key").alias("lead_key")), "groups")
-    nodes = stored(members.join(active, "g"), "nodes")  # key, g, n, rep, lead, lead_key
-    sets = stored(only_wanted(docs, nodes.select(F.col("rep").alias("doc_id"))).select("text").mapInArrow(
-        _sets, "key binary, own binary"), "sets")
-
-    # one check per member: with the hub its group names most, and with the first of its own group
-    hubs = (shared.where("pos >= 0 and g <> hub").groupBy("g", "hub").count()
-            .groupBy("g").agg(F.max_by("hub", "count").alias("hub")))
-    of_hub = active.select(F.col("g").alias("hub"), F.col("lead").alias("a"), F.col("lead_key").alias("ka"))
-    near = nodes.join(hubs, "g").join(of_hub, "hub").select("a", "ka", F.col("rep").alias("b"), F.col("key").alias("kb"))
+    active = stored(active.select("g", "n", "last", F.col("first.rep").alias("lead"), F.col("first.key").alias("lead_key")), "groups")
+    leads = active.select("g", "lead", "lead_key")
+    nodes = stored(members.join(leads, "g"), "nodes")  # key, g, n, last, rep, lead, lead_key
+
+    # one check per member: with the hub its group names most, if that can be, and with the first of its own group
+    # all its shared shingles bound what a group can share with its hub, whichever of them name it
+    named = shared.where("pos >= 0").groupBy("g", "hub").count()
+    hubs = named.groupBy("g").agg(F.expr("max_by(hub, if(g <> hub, count, 0))").alias("hub"), F.sum("count").alias("shared"))
+    hubs = hubs.where("g <> hub")
+    of_hub = active.select(F.col("g").alias("hub"), F.col("n").alias("n2"), F.col("last").alias("last2"),
+                           F.col("lead").alias("a"), F.col("lead_key").alias("ka"))
+    near = nodes.join(hubs, "g").join(of_hub, "hub").where(_enough("shared", "n", "last", "n2", "last2")).select(
+        "a", "ka", F.col("rep").alias("b"), F.col("key").alias("kb"))
     own = nodes.where("rep <> lead").select(F.col("lead").alias("a"), F.col("lead_key").alias("ka"),
                                             F.col("rep").alias("b"), F.col("key").alias("kb"))
-    ties = stored(_checked(near.unionByName(own), sets), "ties")
+    ties = stored(_checked(near.unionByName(own), docs), "ties")
 
-    up = ties.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("up"))
-    up = stored(up, "up")
-    top = up.join(up.select(F.col("id").alias("mid"), F.col("up").alias("top")), F.col("up") == F.col("mid"), "left")
-    top = top.select("id", F.coalesce("top", "up").alias("label"))
+    top = components(ties)
     marked = nodes.join(top, F.col("rep") == F.col("id"), "left").select(
-        "g", "n", "key", "rep", F.coalesce("label", "rep").alias("label"))
+        "g", "n", "last", "key", "rep", F.coalesce("label", "rep").alias("label"))
     marked = stored(marked, "marked")
+    # what a set can share with one that has this shingle too: the shared shingles before it, and all from it on
+    order = Window.partitionBy("g", "rep").orderBy("pos")
     spread = shared.where("pos >= 0").select("token", "g", "pos").join(marked, "g")
+    spread = spread.withColumn("most", F.row_number().over(order) - 1 + F.col("n") - F.col("pos"))
     spread = spread.withColumn("lo", F.min("label").over(each)).withColumn("hi", F.max("label").over(each))
-    spread = stored(spread.where("lo <> hi").select("token", "n", "pos", "key", "rep", "label"), "open-shingles")
+    spread = stored(spread.where("lo <> hi").select("token", "n", "last", "most", "pos", "key", "rep", "label"), "open-shingles")
     p, q = spread.alias("p"), spread.alias("q")
     rest = F.least(F.col("p.n") - F.col("p.pos"), F.col("q.n") - F.col("q.pos"))
-    fits = (4 * F.least("p.n", "q.n") >= 3 * F.greatest("p.n", "q.n")) & (7 * rest >= 3 * (F.col("p.n") + F.col("q.n")))
     apart = (F.col("p.rep") < F.col("q.rep")) & (F.col("p.label") != F.col("q.label"))
     shown = [F.col("p.rep").alias("a"), F.col("p.key").alias("ka"), F.col("q.rep").alias("b"), F.col("q.key").alias("kb")]
-    across = p.join(q, (F.col("p.token") == F.col("q.token")) & apart & fits).select(*shown)
+    both_n = F.col("p.n") + F.col("q.n")
+    sizes = (4 * F.least("p.n", "q.n") >= 3 * F.greatest("p.n", "q.n")) & (7 * F.least("p.most", "q.most") >= 3 * both_n)
+    both = p.join(q, (F.col("p.token") == F.col("q.token")) & apart & sizes).select(
+        *shown, *[F.col(f"p.{c}").alias(c) for c in ("n", "last")], *[F.col(f"q.{c}").alias(f"{c}2") for c in ("n", "last")],
+        rest.alias("rest"))
+    # behind the first shingle they share, where the rest is largest, there must be enough left
+    both = both.groupBy(*[c for c in both.columns if c != "rest"]).agg(F.count("*").alias("shared"), F.max("rest").alias("rest"))
+    across = both.where(_enough("shared", "n", "last", "n2", "last2") & (7 * F.col("rest") >= 3 * (F.col("n") + F.col("n2"))))
+    across = across.select("a", "ka", "b", "kb")
     s, t = marked.alias("p"), marked.alias("q")
     within = s.join(t, (F.col("p.g") == F.col("q.g")) & apart).select(*shown)
-    more = _checked(across.unionByName(within).distinct(), sets)
+    more = _checked(across.unionByName(within).distinct(), docs)
     joined = components(ties.unionByName(more))
     of_class = classes.join(joined, F.col("rep") == F.col("id"), "left").select(
         F.col("key").alias("_key"), F.coalesce("label", "rep").alias("component_id"))
