@@ -208,6 +208,17 @@ def test_page_without_article_element():
                                      "Second link paragraph with words and words and words.\n\none item\n\ntwo item")
 
 
+def test_pages_with_articles_are_whole():
+    long = "Words of a long paragraph that says a good deal, and more of it."
+    many = f"<p>{long}</p>"
+    page = f"<body><main><h1>Title</h1><article>{many * 3}</article><article>{many * 2}<p>End.</p></article></main></body>"
+    assert pages.main_text(page) == "\n\n".join(["Title", *[long] * 5, "End."])
+    page = f"<body><article><h1>One</h1>{many * 3}</article><article><h1>Two</h1><div>{many * 2}</div></article></body>"
+    assert pages.main_text(page) == "\n\n".join(["One", *[long] * 3, "Two", *[long] * 2])
+    page = f"<body><div><article>{many * 2}</article></div><div>{many * 3}</div></body>"  # text beside the article
+    assert pages.main_text(page) == "\n\n".join([long] * 5)
+
+
 def test_toxicity_shares_subwords_and_finds_single_words():
     rng = np.random.default_rng(4)
     clean = ["the", "quick", "river", "stone", "walks", "under", "green", "light"]

@@ -8,8 +8,8 @@ scripts, styles) are left out. For every remaining node
 
 with C characters, T tags, LC characters and LT tags of links, nLC characters outside links, b the body; a zero counts
 as one. The node with the largest sum of its children's densities is the main text; the smallest density on its path to
-the body is the threshold, and further nodes at or above it add their own largest-sum subtrees. If the main text lies in
-or around an only ``article`` (or ``main``), that element is taken whole.
+the body is the threshold, and further nodes at or above it add their own largest-sum subtrees. Density alone loses titles
+and short sections of an article, so every outer ``article`` or ``main`` with text is taken whole besides.
 
 Defined results: null or empty html, or html without text in its body, gives an empty text. Broken html is read as
 browsers do in the common cases (unclosed p, li, td; stray end tags; end of file anywhere; elements without a body).
@@ -198,17 +198,7 @@ def main_nodes(root: Node) -> list[Node]:
     best = max(nodes, key=lambda x: x.total)
     if not best.total:
         best = max(nodes, key=lambda x: x.density)
-    wholes = [x for x in nodes if x.tag in WHOLE and x.chars]
-    above, path = best, []
-    while above is not None:
-        path.append(above)
-        above = above.parent
-    for x in path:
-        if x.tag in WHOLE:
-            return [x]
-    outer = [x for x in wholes if not any(y.tag in WHOLE for y in _path(x.parent))]
-    if len(outer) == 1 and outer[0].chars * 2 >= best.chars:
-        return outer
+    path = _path(best)
     least = min(x.density for x in path)
     taken, queue = [], [root]
     best_path = set(map(id, path))
@@ -223,6 +213,12 @@ def main_nodes(root: Node) -> list[Node]:
             taken.append(node)
         else:
             queue.extend(node.children)
+    queue = [root]
+    for node in queue:  # articles are whole, also what of them is below the threshold
+        if node.tag in WHOLE and node.chars:
+            taken.append(node)
+        else:
+            queue.extend(node.children)
     return taken
 
 
