@@ -219,6 +219,28 @@ def test_pages_with_articles_are_whole():
     assert pages.main_text(page) == "\n\n".join([long] * 5)
 
 
+@pytest.mark.parametrize("part", [
+    '<section id="side-effects"><p>kept</p></section>', '<h2 id="search-and-rescue">kept</h2>', '<p id="notice-periods">kept</p>',
+    '<section id="social-impact">kept</section>', '<section id="comments">kept</section>', '<p class="social-impact">kept</p>',
+    '<div data-id="menu" data-class="ad">kept</div>', '<figure><figcaption>kept</figcaption></figure>',
+    '<p title="a hidden valley">kept</p>', '<p class="hidden md:block">kept</p>', "<p title='class=\"ad\"'>kept</p>",
+    '<p title="display: none">kept</p>', '<div class="post-header">kept</div>',
+])
+def test_article_text_is_kept(part):
+    assert pages.main_text(f"<body><article><p>one</p>{part}<p>two</p></article></body>") == "one\n\nkept\n\ntwo"
+    assert "kept" in pages.main_text(f"<body><main><p>one</p>{part}<p>two</p></main></body>")
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="x ad">gone</div>', '<div class="share-buttons">gone</div>', '<p hidden>gone</p>', '<p HIDDEN="">gone</p>',
+    '<p aria-hidden=true>gone</p>', '<p style="color:red; display : none">gone</p>', '<div role="navigation">gone</div>',
+    '<div id="comments">gone</div>', "<p class='advert'>gone</p>", '<article class="comment"><p>gone</p></article>',
+    '<aside>gone</aside>', '<div class=cookie-banner>gone</div>',
+])
+def test_boilerplate_in_an_article_goes(part):
+    assert pages.main_text(f"<body><article><p>one</p>{part}<p>two</p></article></body>") == "one\n\ntwo"
+
+
 def test_toxicity_shares_subwords_and_finds_single_words():
     rng = np.random.default_rng(4)
     clean = ["the", "quick", "river", "stone", "walks", "under", "green", "light"]

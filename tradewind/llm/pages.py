@@ -2,7 +2,9 @@ r"""Main text of web pages by composite text density.
 
 A page becomes a tree of its block elements; inline elements count as tags of the block they stand in. Elements that are
 no article by their tag, role, class or id (menus, headers, footers, sidebars, notices, adverts, forms, comments,
-scripts, styles) are left out. For every remaining node
+scripts, styles) are left out. A whole token of class or role has to say so (``site-footer`` does, ``social-impact``
+does not); an id counts on a ``div``, and outside articles on a ``section`` and lists, as ids of headings and what stands
+under them are slugs of titles. For every remaining node
 
     density = C/T * log base ln(C/nLC * LC + LCb/Cb * C + e) of (C/LC * T/LT)
 
@@ -26,27 +28,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Kinds of HTML elements, and words in class, id and role that name what is no article.
+# Kinds of HTML elements, and words of class, id and role that name what is no article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg canvas object select".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby "
                    "s samp small span strike strong sub sup time tt u var wbr".split())
-NEVER = frozenset("nav header footer aside form button menu dialog head figcaption".split())
+NEVER = frozenset("nav header footer aside form button menu dialog head".split())
 WHOLE = frozenset("article main".split())
 CLOSES = {"li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"), "dt": ("dt", "dd"),
           "dd": ("dt", "dd"), "option": ("option",)}
 HOLDS = frozenset("ul ol table dl body html article section div main".split())
+OUTSIDE_IDS = frozenset("div section ul ol dl table".split())
 BAD_WORDS = frozenset(
     "ad ads adbox adsense advert adverts advertisement advertising sponsor sponsored banner promo promotion sidebar side "
     "aside comment comments disqus respond replies cookie cookies consent gdpr notice notices alert alerts popup modal overlay "
     "menu nav navbar navigation breadcrumb breadcrumbs footer header masthead share sharing social related recommended "
     "newsletter subscribe subscription widget toolbar pagination pager login signin signup search complementary contentinfo "
     "skip".split())
+#: Words that say only where or in what form something is: they may stand beside the others.
+LAYOUT_WORDS = frozenset(
+    "site page main global top bottom left right primary secondary inline box wrapper wrap container area region section block "
+    "holder panel bar list item items links link buttons button icons slot unit banner menu form thread posts articles".split())
+COMMENT_WORDS = frozenset("comment comments".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMES = re.compile(r"""(?:\bclass|\bid|\brole)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_TELLING = re.compile(r"class|id|role|style", re.I)  # in attributes that can leave an element out (hidden has id too)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _WORDS = re.compile(r"[A-Za-z0-9]+")
 
 
@@ -61,20 +70,42 @@ class Node:
         self.density = self.total = 0.0
 
 
-def _is_bad(tag: str, attributes: str, inside: bool) -> bool:
-    if tag in WHOLE or tag in ("body", "html"):
+def _attributes(raw: str) -> dict[str, str]:
+    """Values by lower-case name; of repeated names the first counts."""
+    out: dict[str, str] = {}
+    for found in _ATTRIBUTE.finditer(raw):
+        out.setdefault(found[1].lower(), found[2] or found[3] or found[4] or "")
+    return out
+
+
+def _names_bad(token: str, inside: bool, words: frozenset = BAD_WORDS) -> bool:
+    """Whether a token as a whole names boilerplate: by such words, and besides them words of layout and numbers alone."""
+    parts = {w.lower() for w in _WORDS.findall(token)}
+    said = parts & words
+    if not said or inside and said <= {"header"}:
+        return False
+    return all(w in LAYOUT_WORDS or w.isdigit() for w in parts - words)
+
+
+def _is_bad(tag: str, raw: str, inside: bool) -> bool:
+    if tag in ("main", "body", "html"):
         return False
     if tag in NEVER:
         return not (tag == "header" and inside)
-    if not attributes or attributes.isspace():
+    if not _TELLING.search(raw):
         return False
-    if _HIDDEN.search(attributes):
+    given = _attributes(raw)
+    tokens = given.get("class", "").split()
+    if tag == "article":  # comments are often marked up as articles of their own
+        return any(_names_bad(x, inside, COMMENT_WORDS) for x in tokens)
+    if "hidden" in given or given.get("aria-hidden", "").lower() == "true" or _NONE.search(given.get("style", "")):
         return True
-    for found in _NAMES.finditer(attributes):
-        words = {w.lower() for w in _WORDS.findall(found[1] or found[2] or found[3] or "")}
-        if words & BAD_WORDS and not (inside and words & BAD_WORDS <= {"header"}):
-            return True
-    return False
+    if any(_names_bad(x, inside) for x in tokens + given.get("role", "").split()):
+        return True
+    titled = tag != "div" or any(x.lower() == "section" for x in tokens)  # its id can be the slug of a title
+    if titled and (inside or tag not in OUTSIDE_IDS):
+        return False
+    return _names_bad(given.get("id", "").strip(), inside)
 
 
 def parse(page: str) -> Node:
