@@ -477,9 +477,9 @@ def published_forecast(s: Star) -> DataFrame:
 
 @query
 def forecast_view(s: Star) -> DataFrame:
-    """The last 90 days of actuals and the forecast of every category."""
+    """All actuals, the forecast and its band of every category."""
     rows = materialize(published_forecast(s), "published")
-    return forecast.forecast_view(rows, None, 90)
+    return forecast.forecast_view(rows, None)
 
 
 @query
