@@ -134,6 +134,18 @@ def test_no_views_and_no_stock_give_null(spark):
     assert row.margin == 6 and row.conversion_pct is None and row.stock_turn is None
 
 
+def test_indicators_leave_out_sales_of_unknown_products(spark):
+    sales = spark.createDataFrame(
+        [("1", 1, 1, 0, day(0), 1, 10, 10), ("2", 2, 9, 0, day(0), 1, 50, 50), ("3", 3, None, 0, day(0), 1, 50, 50)],
+        "sale_id string, client_id int, product_id int, promo_id int, sale_date date, quantity int, unit_price bigint,"
+        " amount bigint")
+    products = spark.createDataFrame([(1, 4, 2)], "product_id int, unit_cost bigint, stock int")
+    events = spark.createDataFrame([("view",), ("view",)], "action string")
+    row = metrics.kpi_summary(sales, products, events).first()
+    assert (row.revenue, row.margin, row.units, row.clients, row.orders) == (10, 6, 1, 1, 1)
+    assert (row.mean_basket, row.conversion_pct, row.margin_per_client) == (10.0, 50.0, 6.0)
+
+
 def test_cover_without_demand(spark):
     products = spark.createDataFrame([("a", 10), ("b", 10)], "category string, stock int")
     forecast = spark.createDataFrame([("a", day(0), -1.0), ("b", day(0), 1.0)], "category string, ds date, yhat double")

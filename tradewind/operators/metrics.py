@@ -59,7 +59,7 @@ def units_per_product(sales: DataFrame) -> DataFrame:
 
 
 def kpi_summary(sales: DataFrame, products: DataFrame, events: DataFrame) -> DataFrame:
-    """One row of business indicators; a zero denominator gives null."""
+    """One row of business indicators over the sales of known products; a zero denominator gives null."""
     sold = per_product(sales).join(products.select("product_id", "unit_cost"), "product_id")
     totals = sold.agg(
         F.sum("revenue").alias("revenue"),
@@ -67,8 +67,9 @@ def kpi_summary(sales: DataFrame, products: DataFrame, events: DataFrame) -> Dat
         F.sum("units").alias("units"),
     )
     # one distinct count to a query: two in one aggregate would copy every sale for each
-    clients = scalar(sales.select("client_id").distinct(), F.count("client_id"))
-    orders = scalar(sales.select("sale_id").distinct(), F.count("sale_id"))
+    known = sales.join(products.select("product_id"), "product_id", "left_semi")
+    clients = scalar(known.select("client_id").distinct(), F.count("client_id"))
+    orders = scalar(known.select("sale_id").distinct(), F.count("sale_id"))
     views = scalar(events, F.count_if(F.col("action") == "view"))
     stock = scalar(products, F.sum("stock"))
     c = F.col
