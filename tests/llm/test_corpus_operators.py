@@ -211,6 +211,14 @@ def test_cleaned_texts(corpus):
         assert r["text"] == (text if not gone else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone))
 
 
+def test_cleaned_rows_that_share_an_id(spark):
+    rows = [(1, "one old line"), (2, "One OLD line\nnew words here"), (2, "only in this row\nand this too"), (2, None),
+            (None, "one old line"), (None, "stays too")]
+    got = lines.clean(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    want = [(1, "one old line"), (2, "new words here"), (2, "only in this row\nand this too"), (2, None), (None, ""), (None, "stays too")]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
 def _targets(sizes):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
