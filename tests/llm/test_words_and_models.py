@@ -269,3 +269,19 @@ def test_toxicity_held_out_accuracy(sf_dir):
     test = rows[held]
     right = (model.probability(toxicity.Scorer(model).worst(test["text"].tolist())) >= 0.3) == (test["toxic"] == 1)
     assert right.mean() > 0.9
+
+
+def test_toxicity_trains_on_all_windows_of_long_texts(spark):
+    rng = np.random.default_rng(5)
+    clean = ["the", "quick", "river", "stone", "walks", "under", "green", "light"]
+    texts = []
+    for i in range(120):
+        words = rng.choice(clean, 3000).tolist()
+        if i % 2:
+            words[7 + 5 * (i % 3)] = "grimblat"  # in a window that an even pick of 200 of 600 leaves out
+        texts.append((i, " ".join(words), i % 2))
+    docs = spark.createDataFrame([t[:2] for t in texts], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in texts], "doc_id bigint, toxic int")
+    rows = toxicity.training_rows(docs, labels).collect()
+    assert {len(r["windows"].split("\n")) for r in rows} == {600}
+    assert all(("grimblat" in r["windows"]) == bool(r["toxic"]) for r in rows)

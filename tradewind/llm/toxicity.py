@@ -27,8 +27,8 @@ WINDOW = 5
 BUCKETS = 1 << 16
 DIM = 12
 GRAMS = (3, 4, 5)
-#: Bounds of the training sample: documents of each class, windows of a document.
-TOXIC_ROWS, CLEAN_ROWS, WINDOWS_PER_ROW = 2500, 5000, 200
+#: Bounds of the training sample: documents of each class. Of these all windows are read.
+TOXIC_ROWS, CLEAN_ROWS = 2500, 5000
 _WORD = re.compile(r"\w+")
 _seeded = np.random.default_rng(7)
 _PLACE = _seeded.integers(1, 2**63, max(GRAMS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -114,14 +114,12 @@ class Scorer:
 
 
 def _sample_windows(batches):
-    """Non-overlapping windows of each training row, at most WINDOWS_PER_ROW evenly spread ones."""
+    """All non-overlapping windows of each row of the training sample."""
     for rows in batches:
         out = []
         for doc_id, text, toxic in zip(rows["doc_id"], rows["text"], rows["toxic"], strict=True):
             words = words_of(text)
-            windows = [words[i:i + WINDOW] for i in range(0, len(words), WINDOW)] or [[]]
-            keep = np.unique(np.linspace(0, len(windows) - 1, min(len(windows), WINDOWS_PER_ROW)).astype(int))
-            out.append((doc_id, toxic, "\n".join(" ".join(windows[i]) for i in keep)))
+            out.append((doc_id, toxic, "\n".join(" ".join(words[i:i + WINDOW]) for i in range(0, len(words), WINDOW))))
         yield pd.DataFrame(out, columns=["doc_id", "toxic", "windows"])
 
 
