@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -285,3 +286,12 @@ def test_toxicity_trains_on_all_windows_of_long_texts(spark):
     rows = toxicity.training_rows(docs, labels).collect()
     assert {len(r["windows"].split("\n")) for r in rows} == {600}
     assert all(("grimblat" in r["windows"]) == bool(r["toxic"]) for r in rows)
+
+
+def test_a_block_sends_each_fingerprint_once():
+    rows = pd.DataFrame({"block": [1] * 5000 + [2] * 2, "fp": [7] * 4999 + [-9, 5, -9]})
+    sent = pd.concat([exact._send(1)((b,), rows[rows["block"] == b]) for b in (1, 2)])
+    assert [len(exact.rice_decode(c)) for c in sent["coded"]] == [2, 2]
+    answers = exact._answer((0,), sent)
+    marked = [exact._mark(1)((b,), rows[rows["block"] == b].assign(doc_id=1), answers[answers["block"] == b]) for b in (1, 2)]
+    assert [sorted(set(m["fp"])) for m in marked] == [[-9, 7], [-9]] and [len(m) for m in marked] == [5000, 1]

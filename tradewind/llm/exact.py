@@ -1,8 +1,8 @@
 """Exact duplicates by an exchange of Golomb-coded fingerprints.
 
 1. Each scan task cuts its rows into blocks of at most BLOCK rows, takes a 64-bit fingerprint of every normalised text,
-   sorts them and sends each owner (a range of fingerprints) its part, Rice-coded: little more than the entropy of the
-   gaps between sorted hashes.
+   sorts them and sends each owner (a range of fingerprints) its part, each fingerprint once with a bit that says if the
+   block has it twice, Rice-coded: little more than the entropy of the gaps between sorted hashes.
 2. An owner decodes what it got, finds the fingerprints that occur twice or more, and answers every block with a bitmap
    over the hashes that the block sent.
 3. A block reads the answers beside its own sorted hashes; the rows marked are suspects. Everything else is unique.
@@ -93,17 +93,17 @@ def _records(batches):
 
 
 def _own_hashes(rows: pd.DataFrame) -> np.ndarray:
-    return np.sort(rows["fp"].to_numpy(np.int64).view(np.uint64))
+    return rows["fp"].to_numpy(np.int64).view(np.uint64)
 
 
 def _send(owners: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        hashes = _own_hashes(rows)
+        hashes, times = np.unique(_own_hashes(rows), return_counts=True)
         at = np.searchsorted(hashes, _starts(owners))
         cuts = np.append(at, len(hashes)).tolist()
-        sent = [(key[0], o, rice_encode(hashes[a:b] - _starts(owners)[o]))
+        sent = [(key[0], o, rice_encode(hashes[a:b] - _starts(owners)[o]), np.packbits(times[a:b] > 1).tobytes())
                 for o, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-        return pd.DataFrame(sent, columns=["block", "owner", "coded"])
+        return pd.DataFrame(sent, columns=["block", "owner", "coded", "again"])
     return run
 
 
@@ -114,7 +114,8 @@ def _starts(owners: int) -> np.ndarray:
 def _answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     parts = [rice_decode(c) for c in rows["coded"]]
     values, times = np.unique(np.concatenate(parts), return_counts=True)
-    twice = values[times > 1]
+    again = [p[np.unpackbits(np.frombuffer(a, np.uint8), count=len(p)).astype(bool)] for p, a in zip(parts, rows["again"], strict=True)]
+    twice = np.union1d(values[times > 1], np.concatenate(again))
     answers = []
     for block, own in zip(rows["block"], parts, strict=True):
         hit = np.zeros(len(own), np.uint8)
@@ -129,13 +130,13 @@ def _mark(owners: int):
     def run(key: tuple, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
             return pd.DataFrame({"doc_id": [], "fp": []})
-        hashes, order = _own_hashes(rows), np.argsort(rows["fp"].to_numpy(np.int64).view(np.uint64), kind="stable")
-        hit = np.zeros(len(rows), bool)
+        hashes, place = np.unique(_own_hashes(rows), return_inverse=True)
+        hit = np.zeros(len(hashes), bool)
         begins = np.searchsorted(hashes, _starts(owners))
         for owner, n, bits in zip(answers["owner"], answers["n"], answers["bits"], strict=True):
             at = int(begins[owner])
             hit[at:at + n] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
-        return rows.iloc[order[hit]][["doc_id", "fp"]]
+        return rows[hit[place]][["doc_id", "fp"]]
     return run
 
 
@@ -146,7 +147,7 @@ def find(docs: DataFrame) -> DataFrame:
                      "fingerprints")
     owners = max(1, -(-records.count() // OWNED))
     sent = records.select("block", "fp").groupBy("block").applyInPandas(
-        _send(owners), "block bigint, owner int, coded binary")
+        _send(owners), "block bigint, owner int, coded binary, again binary")
     answers = sent.groupBy("owner").applyInPandas(_answer, "block bigint, owner int, n int, bits binary")
     suspects = stored(records.select("block", "doc_id", "fp").groupBy("block").cogroup(answers.groupBy("block"))
                       .applyInPandas(_mark(owners), "doc_id bigint, fp bigint"), "suspects")
