@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.storage import fresh_path
-from tradewind.llm import exact, idfile, lines, mixing, neardup, packing, pages, pii, quality, toxicity
+from tradewind.llm import chats, exact, idfile, lines, mixing, neardup, packing, pages, pii, quality, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -69,8 +69,10 @@ ORACLE["op6_line_dedup"] = r"""
 WITH raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
              FROM documents),
      l AS (SELECT doc_id, line_no, list_filter(regexp_split_to_array(
-               translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda w: w <> '') AS words
-           FROM raw WHERE regexp_matches(line, '[^ 	-]')),
+               translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda w: w <> '') AS words
+           FROM raw WHERE regexp_matches(line, '[^ 	-
+]')),
      c AS (SELECT words, min(doc_id * 2147483648 + line_no) AS first, row_number() OVER () AS class FROM l GROUP BY words),
      s AS (SELECT class, unnest(list_distinct(CASE WHEN len(words) < 5 THEN [words] ELSE
                list_transform(range(1, len(words) - 3), lambda i: words[i:i + 4]) END)) AS shingle FROM c),
@@ -109,3 +111,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@_named
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+@_named
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chat = _table(spark, sf_dir, "conversations")
+    return chats.report(chat, chats.damage(chat))
