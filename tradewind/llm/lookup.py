@@ -30,10 +30,13 @@ def _marked(table: DataFrame, ids: DataFrame, key: str) -> DataFrame:
             .join(F.broadcast(bitmap), "_lookup_row", "left").withColumn("_lookup_hit", hit))
 
 
-def only_wanted(table: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of ``table`` whose ``key`` is in column ``key`` of ``wanted``; null keys are in neither."""
+def only_wanted(table: DataFrame, wanted: DataFrame, key: str = "doc_id", exact: bool = True) -> DataFrame:
+    """Rows of ``table`` whose ``key`` is in column ``key`` of ``wanted``; null keys are in neither. Unless ``exact``, some
+    other rows may pass too."""
     ids = wanted.select(F.col(key).alias("_lookup_id")).where("_lookup_id is not null").distinct()
     passed = _marked(table, ids.withColumnRenamed("_lookup_id", key), key).where("_lookup_hit")
+    if not exact:
+        return passed.select(*table.columns)
     return passed.join(ids, F.col(key) == F.col("_lookup_id"), "left_semi").select(*table.columns)
 
 

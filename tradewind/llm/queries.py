@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.storage import fresh_path
-from tradewind.llm import chats, exact, idfile, lines, mixing, neardup, packing, pages, pii, quality, toxicity, whitening
+from tradewind.llm import chats, exact, idfile, lines, mixing, neardup, packing, pages, passages, pii, quality, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -122,3 +122,8 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     chat = _table(spark, sf_dir, "conversations")
     return chats.report(chat, chats.damage(chat))
+
+
+@_named
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.find(_table(spark, sf_dir, "documents")).drop("starts", "ends")
