@@ -11,9 +11,8 @@ One index of a large corpus fits no task, so equal strings are first brought tog
 3. Index. A gram has a bucket; pieces of one text and bucket that overlap become one region, so no byte is in a bucket
    twice. A task builds the run-length index of its bucket (``rindex``), streams the matching statistics and marks what
    matches LENGTH bytes or more anywhere else in the bucket.
-4. A gram with more than HOT different pieces would outgrow a bucket. Its pieces are then cut into strides, STRIDE windows at
-   equal places around the gram, which are settled like pieces; of strides that stand alone the single windows, as pieces
-   of LENGTH bytes without a border, are compared with those of all different strides.
+4. A gram with more than HOT different pieces would outgrow a bucket. The windows of its pieces are then the unit, as pieces
+   of LENGTH bytes without a border: those that occur twice go.
 5. Marks meet their texts; only texts with marks are shuffled.
 
 Texts are judged as they came in, so marks do not depend on each other. Equality of pieces and windows is that of 128 bits of
@@ -40,7 +39,6 @@ from tradewind.llm.lookup import only_wanted, without
 
 LENGTH = 200
 HOT = 1024                  # different pieces of one gram that share a bucket at most
-STRIDE = 16                 # windows of a hot gram's piece that are compared at once
 BUCKET = 3 << 19            # about as many bytes in a bucket
 SLICE = 1 << 20             # bytes hashed at a time
 HOT_SHARE = 1000            # a piece is hot when more than one anchor in so many has it
@@ -188,33 +186,20 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-_REGION = "bucket int, row binary, start bigint, body binary, h bigint, w bigint, windows array<bigint>"
-#: Bytes of regions sent on at a time.
+_REGION = "bucket int, row binary, start bigint, body binary, h bigint, w bigint"
+#: Bytes of regions, and number of windows, sent on at a time.
 STEP = 1 << 22
 
 
-def strides(text: bytes, pos: int, length: int, hasher: Hasher) -> list[tuple[int, int, list[int]]]:
-    """(start, hash, hashes of its windows) of the strides of the piece around ``pos``."""
-    reach = length - gram_of(length)
-    first, last = max(0, pos - reach), min(pos, len(text) - length)
-    sums = hasher.sums(np.frombuffer(text[first:last + length], np.uint8))
-    place = np.arange(first, last + 1) - (pos - reach)
-    mark = lambda h, at: _mixed(h ^ (at.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASE))
-    windows = mark(hasher.every(sums, length), place).view(np.int64).tolist()
-    begin = np.flatnonzero(np.append(True, place[1:] // STRIDE != place[:-1] // STRIDE))
-    end = np.append(begin[1:], len(place))
-    whole = mark(hasher.of(sums, begin, end - 1 + length), place[begin] * 2 * STRIDE + (end - begin)).view(np.int64)
-    return [(first + a, w, windows[a:b]) for a, b, w in zip(begin.tolist(), end.tolist(), whole.tolist())]
-
-
 def _regions(length: int):
-    """Texts with the places of their pieces to regions for buckets, and to strides of hot grams."""
+    """Texts with the places of their pieces to regions for buckets, and to windows of hot grams."""
     reach = length - gram_of(length)
-    schema = pa.schema([("bucket", pa.int32()), ("row", pa.binary()), ("start", pa.int64()), ("body", pa.binary()),
-                        ("h", pa.int64()), ("w", pa.int64()), ("windows", pa.list_(pa.int64()))])
+    names = ["bucket", "row", "start", "body", "h", "w"]
 
-    def sent(held):
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+    def bodies(held):
+        none = pa.nulls(len(held), pa.int64())
+        columns = [pa.array(c, t) for c, t in zip(zip(*held), (pa.int32(), pa.binary(), pa.int64(), pa.binary()))]
+        return pa.RecordBatch.from_arrays([*columns, none, none], names=names)
 
     def run(batches):
         hasher, held, size = Hasher(), [], 0
@@ -224,27 +209,28 @@ def _regions(length: int):
             cuts = found.offsets.to_numpy() - found.offsets[0].as_py()
             rows = batch.column("row").to_pylist()
             for k, text in enumerate(_texts(batch.column("text"))):
-                groups: dict[int, list[tuple[int, int]]] = {}
+                groups: dict[tuple[bool, int], list[tuple[int, int]]] = {}
                 for i in range(cuts[k], cuts[k + 1]):
-                    if hots[i]:
-                        parts = strides(text, places[i], length, hasher)
-                        held += [(None, rows[k], at, None, keys[i], w, windows) for at, w, windows in parts]
-                        size += 8 * length
-                    else:
-                        span = (max(0, places[i] - reach), min(len(text), places[i] + length))
-                        groups.setdefault(keys[i], []).append(span)
-                    if size >= STEP:
-                        yield sent(held)
-                        held, size = [], 0
-                for bucket, spans in groups.items():
+                    span = (max(0, places[i] - reach), min(len(text), places[i] + length))
+                    groups.setdefault((hots[i], keys[i]), []).append(span)
+                for (hot, key), spans in groups.items():
                     for s, e in _merged(spans):
-                        held.append((bucket, rows[k], s, text[s:e], None, None, None))
-                        size += e - s
+                        if not hot:
+                            held.append((key, rows[k], s, text[s:e]))
+                            size += e - s
+                            continue
+                        for a in range(s, e - length + 1, SLICE):
+                            b = min(a + SLICE + length - 1, e)
+                            w = hasher.every(hasher.sums(np.frombuffer(text[a:b], np.uint8)), length).view(np.int64)
+                            n = len(w)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.nulls(n, pa.int32()), pa.array([rows[k]] * n, pa.binary()), pa.array(np.arange(a, a + n)),
+                                 pa.nulls(n, pa.binary()), pa.array(np.full(n, key)), pa.array(w)], names=names)
                 if size >= STEP:
-                    yield sent(held)
+                    yield bodies(held)
                     held, size = [], 0
         if held:
-            yield sent(held)
+            yield bodies(held)
     return run
 
 
@@ -298,22 +284,6 @@ def _settled(anchors: DataFrame, pieces: DataFrame) -> DataFrame:
                       "left_semi").select("row", "pos")
 
 
-def _crowd(parts: DataFrame, length: int) -> DataFrame:
-    """Marks of hot grams from their strides: those that occur twice, and the windows of the others that occur in two
-    different ones."""
-    different = stored(parts.groupBy("h", "w").agg(
-        F.count("*").alias("times"), F.first("windows").alias("windows"), F.first("row").alias("row"), F.first("start").alias("start")), "strides")
-    twice = different.where("times > 1").select("h", "w")
-    whole = parts.join(twice, ["h", "w"], "left_semi").select(
-        "row", F.col("start").alias("s"), (F.col("start") + F.size("windows") - 1 + length).alias("e"))
-    again = different.select("h", F.explode("windows").alias("w")).groupBy("h", "w").agg(F.count("*").alias("n")).where("n > 1").select("h", "w")
-    # the row and the place of a stride that stands alone are its own, whichever came first
-    alone = different.where("times = 1").select("h", "row", "start", F.posexplode("windows").alias("at", "w"))
-    single = alone.join(again, ["h", "w"], "left_semi").select(
-        "row", (F.col("start") + F.col("at")).alias("s"), (F.col("start") + F.col("at") + length).alias("e"))
-    return whole.unionByName(single)
-
-
 def marks(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(row, s, e): runs of bytes that repeat, which may overlap or reach over the ends, of the texts of ``docs`` (row, text)."""
     reach = length - gram_of(length)
@@ -333,7 +303,9 @@ def marks(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     regions = stored(texts.mapInArrow(_regions(length), _REGION), "regions")
     inside = regions.where("bucket is not null").select("bucket", "row", "start", "body").groupBy("bucket") \
         .applyInArrow(_indexed(length), _MARK)
-    crowd = _crowd(regions.where("bucket is null").select("row", "start", "h", "w", "windows"), length)
+    windows = regions.where("bucket is null").select("row", "start", "h", "w")
+    twice = windows.groupBy("h", "w").agg(F.count("*").alias("n")).where("n > 1").select("h", "w")
+    crowd = windows.join(twice, ["h", "w"], "left_semi").select("row", F.col("start").alias("s"), (F.col("start") + length).alias("e"))
     whole = _settled(anchors, pieces).select("row", (F.col("pos") - reach).alias("s"), (F.col("pos") + length).alias("e"))
     return whole.unionByName(inside).unionByName(crowd)
 
