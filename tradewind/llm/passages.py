@@ -38,7 +38,7 @@ from tradewind.llm import rindex
 from tradewind.llm.lookup import only_wanted, without
 
 LENGTH = 200
-HOT = 1024                  # different pieces of one gram that share a bucket at most
+HOT = 4096                  # different pieces of one gram that share a bucket at most (1.3 MB of them)
 BUCKET = 3 << 19            # about as many bytes in a bucket
 SLICE = 1 << 20             # bytes hashed at a time
 HOT_SHARE = 1000            # a piece is hot when more than one anchor in so many has it
