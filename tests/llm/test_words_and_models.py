@@ -2,6 +2,7 @@
 
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -10,6 +11,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tradewind.llm import codec, exact, pages, pii, toxicity
 from tradewind.llm.packing import Plan, cut, place
 from tradewind.llm.tagger import Tagger
@@ -262,14 +265,43 @@ def test_toxicity_shares_subwords_and_finds_single_words():
 
 def test_toxicity_held_out_accuracy(sf_dir):
     import duckdb
-    rows = duckdb.sql(f"select doc_id, text, toxic from '/root/testdata/sf0.01/labels.parquet' join "
-                      "'/root/testdata/sf0.01/documents.parquet' using (doc_id)").df()
+    if not Path("/root/testdata/sf0.1").exists():
+        pytest.skip("no test tables")
+    rows = duckdb.sql(f"select doc_id, text, toxic from '/root/testdata/sf0.1/labels.parquet' join "
+                      "'/root/testdata/sf0.1/documents.parquet' using (doc_id)").df()
     held = rows["doc_id"].map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2)
     sample = next(iter(toxicity._sample_windows([rows[~held]])))
     model = toxicity.fit([tuple(r) for r in sample.itertuples(index=False)])
     test = rows[held]
-    right = (model.probability(toxicity.Scorer(model).worst(test["text"].tolist())) >= 0.3) == (test["toxic"] == 1)
-    assert right.mean() > 0.9
+    found = model.probability(toxicity.Scorer(model).worst(test["text"].tolist())) >= 0.3
+    toxic = (test["toxic"] == 1).to_numpy()
+    assert toxic.sum() > 0
+    assert (found & toxic).sum() >= 0.9 * toxic.sum()      # recall
+    assert (found & toxic).sum() >= 0.8 * found.sum()      # precision
+
+
+def test_toxicity_scores_equal_a_plain_computation():
+    rows = [(i, i % 2, "\n".join(f"w{i} good day to {j}" if i % 2 == 0 or j else "you grimblat fool go away" for j in range(4))) for i in range(60)]
+    model = toxicity.fit(rows)
+    text = "Hello there, you GRIMBLATS fool; what a day! " * 3
+
+    def logit(word):
+        bucket, _ = toxicity.features([word])
+        return model.weight[bucket].mean()
+
+    words = [w.lower() for w in toxicity._WORD.findall(text)]
+    windows = [np.mean([logit(w) for w in words[i:i + toxicity.WINDOW]]) for i in range(len(words) - toxicity.WINDOW + 1)]
+    assert toxicity.Scorer(model).worst([text])[0] == pytest.approx(max(windows) + model.bias)
+
+
+def test_toxicity_sample_is_bounded_in_characters(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 1000)
+    docs = spark.createDataFrame([(i, "word " * (30 if i else 5000)) for i in range(200)] + [(None, "x")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(None, 1)], "doc_id bigint, toxic int")
+    rows = toxicity.training_rows(docs, labels).collect()
+    assert 0 < sum(len(r["windows"]) for r in rows) <= 2000
+    got = docs.select(toxicity.held_out(F.col("doc_id")).alias("h"), "doc_id").where("doc_id is null").first()
+    assert got.h is False
 
 
 def test_toxicity_trains_on_all_windows_of_long_texts(spark):

@@ -7,7 +7,7 @@ turn that logit into a probability.
 
 Defined results: null and empty texts score like a text whose window has the zero vector; a table without labels of
 both kinds gives every text the share of toxic labels (0 without any label). Several labels of one document count as
-toxic if one is. Repeated rows are scored one by one.
+toxic if one is. Repeated rows are scored one by one. A row without an id is scored, and not held out.
 """
 
 from __future__ import annotations
@@ -27,8 +27,13 @@ WINDOW = 5
 BUCKETS = 1 << 16
 DIM = 12
 GRAMS = (3, 4, 5)
-#: Bounds of the training sample: documents of each class. Of these all windows are read.
-TOXIC_ROWS, CLEAN_ROWS = 2500, 5000
+#: Bounds of the training sample: documents of each class, and characters of each class (of the rows in hash order those
+#: that fit together). Of these documents all windows are read, and all are scored in every round.
+TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 2500, 5000, 10_000_000
+#: Windows that a round of gradient steps draws: of each class in the first, and clean ones beside the worst ones later.
+FIRST_STEPS, MORE_STEPS = 40_000, 20_000
+#: Words whose grams are handled at a time.
+WORDS = 20_000
 _WORD = re.compile(r"\w+")
 _seeded = np.random.default_rng(7)
 _PLACE = _seeded.integers(1, 2**63, max(GRAMS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -132,13 +137,17 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     chosen = [known.where(F.col("toxic") == c).orderBy(*by_hash).limit(n) for c, n in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
     chosen = chosen[0].unionByName(chosen[1])  # at most TOXIC_ROWS + CLEAN_ROWS pairs of numbers
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    one = texts.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.sha2("text", 256))))
-    return (one.where("_n = 1").drop("_n")
+    one = texts.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.sha2("text", 256)))).where("_n = 1")
+    # at most TOXIC_ROWS and CLEAN_ROWS rows of two numbers to a window
+    sizes = one.select("doc_id", "toxic", F.coalesce(F.length("text"), F.lit(0)).alias("_size"))
+    upto = F.sum("_size").over(Window.partitionBy("toxic").orderBy(*by_hash).rowsBetween(Window.unboundedPreceding, 0))
+    fit_in = sizes.withColumn("_upto", upto).where(F.col("_upto") <= SAMPLE_CHARS).select("doc_id")
+    return (one.join(F.broadcast(fit_in), "doc_id", "left_semi").select("doc_id", "text", "toxic")
             .mapInPandas(_sample_windows, "doc_id bigint, toxic int, windows string"))
 
 
 def held_out(doc_id):
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def fit(rows: list[tuple[int, int, str]], seed: int = 11) -> Model:
@@ -157,10 +166,13 @@ def fit(rows: list[tuple[int, int, str]], seed: int = 11) -> Model:
             windows.extend(ids + [-1] * (WINDOW - len(ids)))
             doc.append(i)
     windows, doc = np.array(windows, np.int32).reshape(-1, WINDOW), np.array(doc, np.int32)
-    bucket, owner = features(list(vocabulary)) if vocabulary else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    order = np.argsort(owner, kind="stable")
-    bucket = bucket[order]
-    count = np.bincount(owner, minlength=len(vocabulary))
+    words, parts, counts = list(vocabulary), [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
+    for a in range(0, len(words), WORDS):  # a few words at a time: their grams take a hundred times the room of what is kept
+        chunk = words[a:a + WORDS]
+        of, owner = features(chunk)
+        parts.append(of[np.argsort(owner, kind="stable")].astype(np.uint16))
+        counts.append(np.bincount(owner, minlength=len(chunk)))
+    bucket, count = np.concatenate(parts), np.concatenate(counts)
     first = np.cumsum(count) - count
     rng = np.random.default_rng(seed)
     vectors = (rng.random((BUCKETS, DIM)) - 0.5) / DIM
@@ -208,21 +220,23 @@ def fit(rows: list[tuple[int, int, str]], seed: int = 11) -> Model:
     def logits():
         per_gram = vectors @ (layer[:, 1] - layer[:, 0])
         per_word = np.zeros(len(vocabulary) + 1)  # the last stands for no word
-        if len(vocabulary):
-            per_word[:-1] = np.add.reduceat(per_gram[bucket], first) / count
+        for a in range(0, len(count), WORDS):
+            b = min(a + WORDS, len(count))
+            own = bucket[first[a]:first[b - 1] + count[b - 1]]
+            per_word[a:b] = np.add.reduceat(per_gram[own], first[a:b] - first[a]) / count[a:b]
         return per_word[windows].sum(1) / np.maximum((windows >= 0).sum(1), 1) + bias[1] - bias[0]
 
     goal = toxic[doc]
     clean, bad = np.flatnonzero(goal == 0), np.flatnonzero(goal == 1)
     some = lambda a, n: rng.permutation(a)[:n]
-    train(np.concatenate([some(bad, 40_000), some(clean, 40_000)]), goal, 0.3)
+    train(np.concatenate([some(bad, FIRST_STEPS), some(clean, FIRST_STEPS)]), goal, 0.3)
     for _ in range(3):  # a toxic document need not be so in every window: its worst ones are, and clean ones never
         z = logits()
         order = np.lexsort((-z, doc))
         rank = np.arange(len(order)) - np.searchsorted(doc[order], doc[order])
         top = order[rank < 2]
         hard = top[goal[top] == 0]
-        train(np.concatenate([top[goal[top] == 1], hard, some(clean, 20_000)]), goal, 0.3)
+        train(np.concatenate([top[goal[top] == 1], hard, some(clean, MORE_STEPS)]), goal, 0.3)
     z = logits()
     worst = np.full(len(rows), -np.inf)
     np.maximum.at(worst, doc, z)
