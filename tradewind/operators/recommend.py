@@ -1,265 +1,356 @@
-"""Personal recommendations: collaborative, content and hybrid scores for all clients.
-
-The score of a product for a client sums its similarity to everything the client
-bought. Clients are hashed into shards and products into blocks; a task scores one
-shard against one block and hands on only the best ``k`` per client, so scores of
-single pairs never reach a shuffle.
+"""Personal recommendations: collaborative, content and hybrid scores for all clients, in Spark operators alone.
+
+The score of a product for a client sums its similarity to everything the client bought.
+
+* Collaborative sums are sparse. The buyers of a product within one shard of clients are gathered first, so that a product
+  meets its similar ones once per shard and not once per buyer, and a product in every basket is one row per shard. What
+  meets is sent as two short lists to the task of the shard and the block of products, and spread and summed there: single
+  products of weights never reach a shuffle.
+* The smallest collaborative score over all unbought products is 0 exactly if fewer products have a score than are unbought;
+  otherwise it is the smallest of those that have one.
+* Content scores are found in bands: neighbours in price within one category and brand. Over a band the score of a client is
+  bounded by its ends and its peak, so only bands that may hold one of the best, or the least, are opened.
+* A hybrid list merges the best of both lists. No product outside them can score more than the last places of both do
+  together; clients for whom this bound is not below their k-th score are scored again with deeper lists.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tradewind.functions.numeric import EDGE_BITS, checked_k, fixed_point
+from tradewind.functions.numeric import EDGE_BITS, checked_k, dbl, fixed_point, ratio
+from tradewind.functions.running import with_running_sums
+from tradewind.functions.spread import spread_join
 from tradewind.functions.storage import materialize
 from tradewind.operators.history import leave_last_out, popular_recs, popularity, purchase_history
-from tradewind.operators.similarity import _codes, content_features, purchase_similarity
+from tradewind.operators.similarity import content_features, from_both_ends, purchase_similarity
 
-BLOCK_PRODUCTS = 65_536     # products per block
-BLOCK_EDGES = 4_000_000     # similarity edges per block
-SHARD_ROWS = 1_000_000      # history rows per shard
-CELLS = 500_000             # client x product scores held at a time in a task
-GATHER = 500_000            # similarity edges looked up at a time in a task
+CELLS = 4_000_000           # scores of single pairs summed in one task, about
+BLOCKS = 16                 # blocks of products, at least of BLOCK_PRODUCTS each
+BLOCK_PRODUCTS = 1024
+DEPTH = 256                 # length of the lists that a hybrid list merges first
 
-RANGE = ("cf_lo", "cf_hi", "ct_lo", "ct_hi")
 MODELS = {"content": 0.0, "collaborative": 1.0, "hybrid": 0.5}
+HALF = EDGE_BITS // 2
+SCALE = float(1 << EDGE_BITS)
+
+
+def _halves(n: Column, fixed: Column) -> list[Column]:
+    """Sums of ``n * fixed`` in two halves, exact up to 2^37 purchases and free of order."""
+    return [F.sum(n * F.shiftright(fixed, HALF)).alias("upper"), F.sum(n * fixed.bitwiseAND(F.lit((1 << HALF) - 1))).alias("lower")]
+
+
+def _whole() -> Column:
+    return (F.col("upper").cast("double") * dbl(1 << HALF) + F.col("lower").cast("double")) / dbl(SCALE)
+
+
+def _min_max(score: str, low: str, high: str) -> Column:
+    """Min-max per client; a client whose scores are all equal gets 0."""
+    spread = F.col(high) - F.col(low)
+    return F.when(spread > 0, (F.col(score) - F.col(low)) / spread).otherwise(dbl(0))
+
+
+def _grid(n_products: int, n_clients: int, parallelism: int) -> tuple[int, int]:
+    """Blocks of products and shards of clients that bound the scores in a task."""
+    blocks = max(1, min(BLOCKS, n_products // BLOCK_PRODUCTS))
+    tasks = max(3 * parallelism, math.ceil(n_products * n_clients / CELLS))
+    return blocks, max(1, math.ceil(tasks / blocks))
+
+
+# --- content ------------------------------------------------------------------------------------------
+
+
+class Catalogue:
+    """Products in bands, written once: ``products`` (product_id, category, brand, p, m, band) and ``bands``."""
+
+    def __init__(self, products: DataFrame) -> None:
+        self.size = products.count()
+        width = max(16, min(4096, math.isqrt(self.size) // 2))
+        order = ["category", "brand", "p", "product_id"]
+        placed = with_running_sums(content_features(products).withColumn("one", F.lit(1)), order, {"number": "one"})
+        placed = materialize(placed.drop("one").withColumn("slot", F.floor(F.col("number") / F.lit(width))), "price-order")
+        bands = placed.groupBy("category", "brand", "slot").agg(
+            F.min("number").alias("band"), F.min("m").alias("m"), F.min("p").alias("lo"), F.max("p").alias("hi"),
+            F.count(F.lit(1)).alias("size"))
+        self.bands = materialize(bands, "bands")
+        b = self.bands.select("band", "slot", F.col("category").alias("_category"), F.col("brand").alias("_brand"))
+        here = F.col("category").eqNullSafe(F.col("_category")) & F.col("brand").eqNullSafe(F.col("_brand"))
+        self.products = materialize(
+            placed.join(b, "slot").where(here).select("product_id", "category", "brand", "p", "m", "band"), "banded")
+
+
+def _profile(history: DataFrame, feats: DataFrame) -> DataFrame:
+    """(client_id, kind, name, v): summed weights of a client's categories, brands and, as kind ``price``, prices."""
+    norm = F.sqrt(F.col("m") + F.col("p") * F.col("p"))
+    weight = F.coalesce(ratio(dbl(1), norm), dbl(0))
+    fixed = lambda c: fixed_point(c, 1 << EDGE_BITS)
+    # without attributes the norm is the price itself, and the weight of nothing
+    part = lambda kind, name, w: F.struct(F.lit(kind).alias("kind"), name.cast("string").alias("name"), w.alias("w"))
+    attribute = fixed(F.least(weight, dbl(1)))
+    parts = F.array(part("category", F.col("category"), attribute), part("brand", F.col("brand"), attribute),
+                    part("price", F.lit(""), fixed(F.col("p") * weight)))
+    rows = history.join(feats, "product_id").select("client_id", "n", F.inline(parts)).where("name is not null")
+    return rows.groupBy("client_id", "kind", "name").agg(*_halves(F.col("n"), F.col("w"))) \
+        .select("client_id", "kind", "name", _whole().alias("v"))
+
+
+def _content_at(a: Column, price: Column, p: Column, m: Column) -> Column:
+    """The score ``(a + P p) / sqrt(m + p^2)``; 0 for a product without attributes and price."""
+    return F.coalesce(ratio(a + price * p, F.sqrt(m + p * p)), dbl(0))
+
+
+def content_scores(history: DataFrame, profile: DataFrame, shop: Catalogue, depth: int) -> DataFrame:
+    """(client_id, product_id, ct) of unbought products: among them each client's ``depth`` best, and its worst."""
+    weight = lambda kind: profile.where(F.col("kind") == kind).select("client_id", "name", "v")
+    touched = [weight(kind).join(shop.bands.select(F.col(kind).cast("string").alias("name"), "band"), "name").select("client_id", "band", "v")
+               for kind in ("category", "brand")]
+    touched = touched[0].unionByName(touched[1]).groupBy("client_id", "band").agg(F.sum("v").alias("a"))
+    touched = materialize(touched, "touched-bands")
+    # bands that share nothing with a client are all alike but for their price: the first in order of it will do
+    n_bands = shop.bands.count()
+    clients = profile.where("kind = 'price'").select("client_id", F.col("v").alias("price"))
+    full = touched.groupBy("client_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= n_bands).select("client_id")
+    open_clients = materialize(clients.join(full, "client_id", "left_anti"), "open-clients")
+    rows = [touched]
+    if not open_clients.isEmpty():
+        seen = touched.join(open_clients, "client_id", "left_semi").select("client_id", F.col("band").alias("product_id"))
+        seen = open_clients.select("client_id", F.lit(-1).cast("bigint").alias("product_id")).unionByName(seen)
+        bare = lambda c: _content_at(dbl(0), dbl(1), F.col(c), F.col("m"))
+        for key, k in ((-bare("hi"), depth), (bare("lo"), 1)):
+            listed = shop.bands.select(key.alias("key"), F.col("band").alias("product_id"), F.lit(1).alias("one"))
+            ranked = materialize(with_running_sums(listed, ["key", "product_id"], {"rank": "one"}).select("rank", "product_id"), "band-order")
+            # a place before all others, which every client has taken, so that each of them is seen
+            ranked = ranked.select((F.col("rank") + 1).alias("rank"), "product_id").unionByName(
+                ranked.sparkSession.range(1).select(F.lit(1).cast("bigint").alias("rank"), F.lit(-1).cast("bigint").alias("product_id")))
+            rows.append(popular_recs(seen, ranked, k).select("client_id", F.col("product_id").alias("band"), dbl(0).alias("a")))
+    bought = spread_join(history, shop.products.select("product_id", "band"), ["product_id"])
+    bought_in = bought.groupBy("client_id", "band").agg(F.count(F.lit(1)).alias("n_bought"))
+    every = rows[0]
+    for r in rows[1:]:
+        every = every.unionByName(r)
+    every = every.dropDuplicates(["client_id", "band"]) if len(rows) > 1 else every
+    bounds = every.join(bought_in, ["client_id", "band"], "left").join(clients, "client_id") \
+        .join(shop.bands.select("band", "m", "lo", "hi", "size"), "band") \
+        .withColumn("free", F.col("size") - F.coalesce("n_bought", F.lit(0))).where("free > 0")
+    at = lambda c: _content_at(F.col("a"), F.col("price"), F.col(c), F.col("m"))
+    peak = ratio(F.col("price") * F.col("m"), F.col("a"))
+    top = F.sqrt(ratio(F.col("a") * F.col("a"), F.col("m")) + F.col("price") * F.col("price"))
+    inside = (peak > F.col("lo")) & (peak < F.col("hi"))
+    bounds = bounds.select("client_id", "band", "a", "price", "free", F.least(at("lo"), at("hi")).alias("least"),
+                           F.greatest(at("lo"), at("hi"), F.when(inside, top)).alias("most"))
+    each = W.partitionBy("client_id")
+    by_least = each.orderBy(F.desc("least"), "band").rowsBetween(W.unboundedPreceding, -1)
+    # the bands that surely hold ``depth`` products set the score below which nothing is among the best
+    judged = bounds.withColumn("ahead", F.coalesce(F.sum("free").over(by_least), F.lit(0))) \
+        .withColumn("bar", F.min(F.when(F.col("ahead") < depth, F.col("least"))).over(each)) \
+        .withColumn("floor", F.min("most").over(each))
+    slack = 1e-12
+    opened = judged.where((F.col("most") * dbl(1 + slack) >= F.col("bar")) | (F.col("least") * dbl(1 - slack) <= F.col("floor"))) \
+        .select("client_id", "band", "a", "price")
+    # a good band is opened by many clients
+    return spread_join(materialize(opened, "opened-bands"), shop.products.select("band", "product_id", "p", "m"), ["band"]) \
+        .join(history.select("client_id", "product_id"), ["client_id", "product_id"], "left_anti") \
+        .select("client_id", "product_id", _content_at(F.col("a"), F.col("price"), F.col("p"), F.col("m")).alias("ct"))
+
+
+def with_content(pairs: DataFrame, profile: DataFrame, shop: Catalogue) -> DataFrame:
+    """``pairs`` (client_id, product_id, ...) with their content score ``ct``."""
+    kinds = [profile.where(F.col("kind") == kind).select("client_id", F.col("name").alias(kind), F.col("v").alias(f"of_{kind}"))
+             for kind in ("category", "brand")]
+    price = profile.where("kind = 'price'").select("client_id", F.col("v").alias("price"))
+    feats = shop.products.select("product_id", F.col("category").cast("string").alias("category"),
+                                 F.col("brand").cast("string").alias("brand"), "p", "m")
+    both = pairs.join(feats, "product_id").join(kinds[0], ["client_id", "category"], "left") \
+        .join(kinds[1], ["client_id", "brand"], "left").join(price, "client_id")
+    a = F.coalesce("of_category", dbl(0)) + F.coalesce("of_brand", dbl(0))
+    return both.select(*pairs.columns, _content_at(a, F.col("price"), F.col("p"), F.col("m")).alias("ct"))
+
+
+# --- collaborative ------------------------------------------------------------------------------------
+
+BOUGHT, WANTED = -1, -2     # in place of a similarity: a product the client has, one whose score is asked for
+
+
+def collaborative_scores(history: DataFrame, links: DataFrame, depth: int, blocks: int, shards: int,
+                         asked: DataFrame | None = None) -> DataFrame:
+    """(client_id, task, product_id, cf, place, known, least): unbought products by their similarity to the history.
+
+    ``links`` are the similarities ``(i, j, s)`` with ``i < j``, as whole numbers of 2^-52. Of every client and block the
+    best ``depth`` come back, and those in ``asked``; ``known`` counts the products of the block that have a score, ``least``
+    is the smallest such score.
+    """
+    shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards)).cast("int")
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    task = (F.col("block") * shards + F.col("shard")).alias("task")
+    buyers = history.groupBy("product_id", shard("client_id").alias("shard")).agg(
+        F.collect_list(F.struct("client_id", "n")).alias("clients"))
+    near = from_both_ends(links, "s").groupBy(F.col("i").alias("product_id"), block("j").alias("block")).agg(
+        F.collect_list(F.struct(F.col("j").alias("product_id"), "s")).alias("others"))
+    met = buyers.join(near, "product_id").select(task, "clients", "others")
+
+    def marked(pairs: DataFrame, sign: int) -> DataFrame:
+        own = F.array(F.struct("client_id", F.lit(1).cast("bigint").alias("n")))
+        return pairs.groupBy("client_id", shard("client_id").alias("shard"), block("product_id").alias("block")).agg(
+            F.collect_list(F.struct("product_id", F.lit(sign).cast("bigint").alias("s"))).alias("others")) \
+            .select(task, own.alias("clients"), "others")
+
+    both = met.unionByName(marked(history, BOUGHT))
+    if asked is not None:
+        both = both.unionByName(marked(asked, WANTED))
+    # several times as many partitions as keys keep two large ones from sharing a task
+    sums = both.repartition(2 * blocks * shards, "task") \
+        .select("task", "clients", F.inline("others")).select("task", "product_id", "s", F.inline("clients"))
+    real = F.greatest(F.col("s"), F.lit(0))
+    cells = sums.groupBy("client_id", "task", "product_id").agg(*_halves(F.col("n"), real), 
+        F.bool_or(F.col("s") == BOUGHT).alias("had"), F.bool_or(F.col("s") == WANTED).alias("asked"))
+    live = cells.where(~F.col("had")) \
+        .select("client_id", "task", "product_id", _whole().alias("cf"), "asked")
+    each = W.partitionBy("client_id", "task")
+    scored = F.when(F.col("cf") > 0, F.col("cf"))
+    return live.withColumn("place", F.row_number().over(each.orderBy(F.desc("cf"), "product_id"))) \
+        .withColumn("known", F.count(scored).over(each)).withColumn("least", F.min(scored).over(each)) \
+        .where((F.col("place") <= depth) | F.col("asked")).drop("asked")
+
+
+# --- lists --------------------------------------------------------------------------------------------
+
+
+def _filled(listed: DataFrame, open_clients: DataFrame, history: DataFrame, products: DataFrame, k: int) -> DataFrame:
+    """Collaborative lists, made up to ``k`` by the first unbought products without a score, in the order of ids."""
+    some = listed.groupBy("client_id").agg(F.count(F.lit(1)).alias("n"))
+    short = open_clients.join(some, "client_id", "left").where(F.coalesce("n", F.lit(0)) < k).select("client_id")
+    short = materialize(short, "short-lists")
+    if short.isEmpty():
+        return listed
+    ids = products.select("product_id", F.lit(1).alias("one"))
+    ranked = materialize(with_running_sums(ids, ["product_id"], {"rank": "one"}).select("rank", "product_id"), "id-order")
+    taken = history.select("client_id", "product_id").unionByName(listed.select("client_id", "product_id")) \
+        .join(short, "client_id", "left_semi")
+    rest = popular_recs(taken, ranked, k).select("client_id", "product_id", dbl(0).alias("cf"))
+    return listed.unionByName(rest)
+
+
+def _listed(scores: DataFrame, model: str, k: int) -> DataFrame:
+    """The best ``k`` of (client_id, product_id, score), by rounded score and id."""
+    best = W.partitionBy("client_id").orderBy(F.desc("score"), "product_id")
+    return scores.withColumn("score", F.round("score", 9)).withColumn("rank", F.row_number().over(best)) \
+        .where(F.col("rank") <= k).select("client_id", F.lit(model).alias("model"), "rank", "product_id", "score")
 
 
 def recommend(history: DataFrame, products: DataFrame, k: int = 5,
               models: dict[str, float] | None = None, edges: DataFrame | None = None,
               wanted: DataFrame | None = None, blocks: int | None = None,
-              shards: int | None = None) -> DataFrame:
+              shards: int | None = None, depth: int | None = None) -> DataFrame:
     """Top ``k`` unbought products per client and model: (client_id, model, rank, product_id, score).
 
-    ``models`` maps a name to the weight of the collaborative score, the rest being the
-    content score; both are min-max scaled over all unbought products of the client.
-    ``edges`` are the similarities of the whole purchase history unless given, ``wanted``
-    narrows the clients scored.
+    ``models`` maps a name to the weight of the collaborative score, the rest being the content score; both are min-max
+    scaled over all unbought products of the client. ``edges`` (i < j) are the similarities of the whole purchase history
+    unless given, ``wanted`` narrows the clients scored. Products outside the catalogue neither count nor come back.
     """
     checked_k(k)
     models = models or {"hybrid": MODELS["hybrid"]}
-    use_collab, use_content = any(a != 0 for a in models.values()), any(a != 1 for a in models.values())
     spark = products.sparkSession
     history = materialize(history, "history")
     links = None
-    if use_collab:
-        edges = purchase_similarity(history) if edges is None else edges
-        links = materialize(edges.select("i", "j", fixed_point(F.col("sim"), 1 << EDGE_BITS).alias("s")), "edges")
+    if any(a != 0 for a in models.values()):
+        links = purchase_similarity(history) if edges is None else edges
+        for end in ("i", "j"):
+            links = links.join(products.select(F.col("product_id").alias(end)), end, "left_semi")
+        links = materialize(links.select("i", "j", fixed_point(F.col("sim"), 1 << EDGE_BITS).alias("s")), "edges")
     scored = history.join(wanted.select("client_id").distinct(), "client_id", "left_semi") if wanted is not None else history
-    n_products, n_history = products.count(), max(1, scored.count())
-    n_links = links.count() if links is not None else 0
-    if blocks is None or shards is None:
-        blocks, shards = _grid(n_products, n_history, n_links, spark.sparkContext.defaultParallelism)
-
-    # rows of one (block, shard) pair share a task key; shard s of block b has key b * shards + s
-    block_of = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
-    in_all_shards = lambda c: F.explode(F.sequence(
-        block_of(c) * shards, block_of(c) * shards + (shards - 1))).alias("task")
-    shard = F.pmod(F.xxhash64("client_id"), F.lit(shards)).cast("int")
-    in_all_blocks = F.explode(F.sequence(shard, shard + (blocks - 1) * shards, F.lit(shards))).alias("task")
-    # history rows and, with a null client, the products of the block
-    none = lambda t: F.lit(None).cast(t)
-    if use_content:
-        feats = content_features(products)
-        norm = F.sqrt(F.col("m") + F.col("p") * F.col("p"))
-        feats = feats.select("product_id", "category", "brand", "p", norm.alias("norm"))
-        weight = F.coalesce(F.try_divide(F.lit(1.0).cast("double"), F.col("norm")), F.lit(0.0).cast("double"))
-        sides = scored.join(feats, "product_id").select(
-            in_all_blocks, "client_id", "product_id", "n", "category", "brand",
-            fixed_point(weight).cast("double").alias("x"), fixed_point(F.col("p") * weight).cast("double").alias("y"))
-        stock = feats.select(
-            in_all_shards("product_id"), none("bigint").alias("client_id"), "product_id", none("bigint").alias("n"),
-            "category", "brand", F.col("p").alias("x"), F.col("norm").alias("y"))
-    else:
-        sides = scored.join(products.select("product_id"), "product_id").select(
-            in_all_blocks, "client_id", "product_id", "n")
-        stock = products.select(
-            in_all_shards("product_id"), none("bigint").alias("client_id"), "product_id", none("bigint").alias("n"))
-    if links is not None:
-        right = links.select(in_all_shards("j"), "i", "j", "s")
-    else:
-        right = spark.createDataFrame([], "task int, i bigint, j bigint, s bigint")
-
-    # several times as many partitions as keys keep two large groups from sharing a task
-    parts = 4 * blocks * shards
-
-    def cogrouped(kernel, schema: str) -> DataFrame:
-        left = sides.unionByName(stock, allowMissingColumns=True)
-        a, b = (d.repartition(parts, "task").groupBy("task") for d in (left, right))
-        return a.cogroup(b).applyInArrow(kernel, schema)
-
-    columns = "client_id bigint, model string, product_id bigint, score double, lo double, hi double"
-    best = W.partitionBy("client_id", "model").orderBy(F.desc("score"), "product_id")
-    if set(models.values()) <= {0.0, 1.0}:
-        # one kind of score keeps its order when scaled, so scaling can wait until the end
-        raw = cogrouped(lambda a, b: _score_block(a, b, k, models, "raw"), columns)
-        whole = W.partitionBy("client_id", "model")
-        low, high = F.min("lo").over(whole), F.max("hi").over(whole)
-        scaled = F.when(F.col("high") > F.col("low"), (F.col("score") - F.col("low")) / (F.col("high") - F.col("low")))
-        found = raw.withColumn("low", low).withColumn("high", high) \
-            .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
-            .withColumn("score", F.coalesce(scaled, F.lit(0.0).cast("double")))
-    else:
-        # the range of a client's scores spans all blocks: find it first, then score
-        low_high = cogrouped(lambda a, b: _score_block(a, b, k, models, "range"),
-                             "client_id bigint, cf_lo double, cf_hi double, ct_lo double, ct_hi double")
-        ranges = materialize(low_high.groupBy("client_id").agg(
-            F.min("cf_lo").alias("cf_lo"), F.max("cf_hi").alias("cf_hi"),
-            F.min("ct_lo").alias("ct_lo"), F.max("ct_hi").alias("ct_hi")), "ranges")
-        sides = sides.join(ranges, "client_id")
-        found = cogrouped(lambda a, b: _score_block(a, b, k, models, "scaled"), columns) \
-            .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return found.select("client_id", "model", "rank", "product_id", F.round("score", 9).alias("score"))
-
-
-def _grid(n_products: int, n_history: int, n_links: int, parallelism: int) -> tuple[int, int]:
-    """Blocks and shards: enough of both to bound a task, split so that the copies of
-    history rows (one per block) and of edges (one per shard) balance."""
-    tasks = 3 * parallelism
-    least = max(1, math.ceil(n_products / BLOCK_PRODUCTS), math.ceil(n_links / BLOCK_EDGES))
-    wish = round(math.sqrt(tasks * max(n_links, n_products) / n_history))
-    blocks = max(least, min(wish, tasks, max(1, n_products // 64)))
-    shards = max(1, math.ceil(n_history / SHARD_ROWS), math.ceil(tasks / blocks) if n_history > 10_000 else 1)
-    return blocks, shards
-
-
-def _score_block(left: pa.Table, right: pa.Table, k: int, models: dict[str, float], mode: str) -> pa.Table:
-    """Scores of the clients of one shard for the products of one block.
-
-    ``range`` returns the range of both scores over unbought products, ``raw`` the best
-    products by unscaled score together with that range, ``scaled`` the best by mixed
-    scaled scores. Sums of similarities are kept in two halves, each a whole number below
-    2^53 held in a double up to 2^27 purchases of a client, hence exact and free of order.
-    """
-    col = lambda t, c: t.column(c).to_numpy()
+    scored = materialize(scored.join(products.select("product_id"), "product_id", "left_semi").select("client_id", "product_id", "n"), "scored")
+    shop = profile = None
+    if any(a != 1 for a in models.values()):
+        shop = Catalogue(products)
+        profile = materialize(_profile(scored, shop.products), "profile")
+    size = products.count()
+    free = scored.groupBy("client_id").agg((F.lit(size) - F.count(F.lit(1))).alias("free")).where("free > 0")
+    task = _Task(spark, products, size, shop, links, k)
+    return _recommend(task, scored, profile, materialize(free, "free"), models, blocks, shards, depth or DEPTH)
+
+
+@dataclass
+class _Task:
+    """What all rounds share."""
+
+    spark: SparkSession
+    products: DataFrame
+    size: int
+    shop: Catalogue | None
+    links: DataFrame | None
+    k: int
+
+
+def _recommend(task: _Task, scored: DataFrame, profile: DataFrame | None, free: DataFrame, models: dict[str, float],
+               blocks: int | None, shards: int | None, depth: int) -> DataFrame:
+    k, shop = task.k, task.shop
+    mixed = {name: a for name, a in models.items() if a not in (0, 1)}
     use_collab, use_content = any(a != 0 for a in models.values()), any(a != 1 for a in models.values())
-    is_product = left.column("client_id").is_null().to_numpy()
-    items = left.filter(pa.array(is_product)).sort_by("product_id")
-    left = left.filter(pa.array(~is_product)).sort_by("client_id")
-    links = right.sort_by("i")
-    ids = col(items, "product_id")
-    n_items = len(ids)
-    link_i, link_s = col(links, "i"), col(links, "s")
-    link_x = np.searchsorted(ids, col(links, "j"))
-    h, n = col(left, "product_id"), col(left, "n").astype(float)
-    n_cat = n_brand = 0
+    depth = max(k, depth) if mixed else k
+    clients = free.select("client_id")
+    out, listed = [], None
     if use_content:
-        p, norm = col(items, "x"), col(items, "y")
-        cat_h, cat_x = _codes(left.column("category"), items.column("category"))
-        brand_h, brand_x = _codes(left.column("brand"), items.column("brand"))
-        w, wp = col(left, "x") * n, col(left, "y") * n
-        n_cat, n_brand = [max(a.max(initial=-1), b.max(initial=-1)) + 2
-                          for a, b in ((cat_h, cat_x), (brand_h, brand_x))]
-    clients, first = np.unique(col(left, "client_id"), return_index=True)
-    bounds = np.append(first, len(h))
-    at = np.searchsorted(ids, h)
-    bought_here = (at < n_items) & (ids[np.minimum(at, n_items - 1)] == h) if n_items else np.zeros(len(h), bool)
-    lo, hi = np.searchsorted(link_i, h, "left"), np.searchsorted(link_i, h, "right")
-    step = max(1, CELLS // max(1, n_items + n_cat + n_brand))
-    given = [col(left, c)[first] for c in RANGE] if RANGE[0] in left.column_names else None
-
-    out = []
-    for c0 in range(0, len(clients) if n_items else 0, step):
-        c1 = min(c0 + step, len(clients))
-        rows = slice(bounds[c0], bounds[c1])
-        who = np.repeat(np.arange(c1 - c0), np.diff(bounds[c0:c1 + 1]))
-        size = c1 - c0
-
-        def table(code, width, rows=rows, who=who, size=size):
-            # one spare last column for "no value", kept at zero
-            known = code >= 0
-            t = np.bincount(who[known] * width + code[known], w[rows][known], size * width)
-            return t.reshape(size, width)
-
-        taken = np.zeros((size, n_items), bool)
-        here = bought_here[rows]
-        taken[who[here], at[rows][here]] = True
-        some_left = ~taken.all(axis=1)
-        collab = content = np.zeros((1, n_items))
-        if use_collab:
-            collab = _gather(who, n[rows], lo[rows], hi[rows], link_x, link_s, size, n_items)
-        if use_content:
-            content = table(cat_h[rows], n_cat)[:, cat_x] + table(brand_h[rows], n_brand)[:, brand_x]
-            content += np.bincount(who, wp[rows], size)[:, None] * p
-            np.divide(content, norm, out=content, where=norm > 0)
-        if given is None:
-            span = [f(np.where(taken, fill, s), axis=1) for s in (collab, content)
-                    for f, fill in ((np.min, np.inf), (np.max, -np.inf))]
-        else:
-            span = [g[c0:c1] for g in given]
-        who_id = clients[c0:c1]
-        if mode == "range":
-            out.append(pa.table({"client_id": pa.array(who_id[some_left], pa.int64()),
-                                 **{c: pa.array(s[some_left]) for c, s in zip(RANGE, span)}}))
-        elif mode == "raw":
-            for name, alpha in models.items():
-                score = np.where(taken, -np.inf, collab if alpha == 1 else content)
-                out.append(_best(score, who_id, ids, k, name, *(span[:2] if alpha == 1 else span[2:])))
-        else:
-            cf, ct = _scaled(collab, span[0], span[1]), _scaled(content, span[2], span[3])
-            for name, alpha in models.items():
-                score = alpha * cf + (1 - alpha) * ct
-                score[taken] = -np.inf
-                out.append(_best(score, who_id, ids, k, name, *span[:2]))
-    if out:
-        return pa.concat_tables(out)
-    if mode == "range":
-        return pa.table({"client_id": pa.array([], pa.int64()), **{c: pa.array([], pa.float64()) for c in RANGE}})
-    return _best(np.empty((0, 0)), np.empty(0, int), ids, k, "", np.empty(0), np.empty(0))
-
-
-def _gather(who, n, lo, hi, link_x, link_s, size, width):
-    """Sum of ``n * s`` over the edges of every history row, in bounded steps. The upper and
-    lower halves of ``s`` are summed apart and meet once."""
-    half = EDGE_BITS // 2
-    upper, lower = np.zeros(size * width), np.zeros(size * width)
-    length = hi - lo
-    cuts = np.searchsorted(np.cumsum(length), np.arange(GATHER, length.sum() + GATHER, GATHER), "left") + 1
-    a = 0
-    for b in np.unique(np.minimum(cuts, len(n))):
-        part = length[a:b]
-        inside = np.arange(part.sum()) - np.repeat(np.cumsum(part) - part, part)
-        edge = np.repeat(lo[a:b], part) + inside
-        cell = np.repeat(who[a:b] * width, part) + link_x[edge]
-        times = np.repeat(n[a:b], part)
-        upper += np.bincount(cell, times * (link_s[edge] >> half), size * width)
-        lower += np.bincount(cell, times * (link_s[edge] & ((1 << half) - 1)), size * width)
-        a = b
-    return (upper * float(1 << half) + lower).reshape(size, width)
-
-
-def _scaled(x, low, high):
-    """Min-max per row; rows without any spread become 0."""
-    spread = high - low
-    flat = ~(spread > 0)
-    out = (x - low[:, None]) / np.where(flat, 1.0, spread)[:, None]
-    out[flat] = 0.0
-    return out
-
-
-def _best(score, clients, ids, k, name, low, high):
-    """Best ``k`` per row; products are in id order and the first maximum wins ties."""
-    rows = np.arange(len(score))
-    r, x, v = [rows[:0]], [rows[:0]], [np.empty(0)]
-    for _ in range(min(k, score.shape[1])):
-        top = score.argmax(axis=1)
-        val = score[rows, top]
-        ok = val > -np.inf
-        r.append(rows[ok])
-        x.append(top[ok])
-        v.append(val[ok])
-        score[rows, top] = -np.inf
-    r, x, v = np.concatenate(r), np.concatenate(x), np.concatenate(v)
-    return pa.table({
-        "client_id": pa.array(clients[r], pa.int64()), "model": pa.array([name] * len(r), pa.string()),
-        "product_id": pa.array(ids[x], pa.int64()), "score": pa.array(v),
-        "lo": pa.array(low[r]), "hi": pa.array(high[r])})
+        content = materialize(content_scores(scored, profile, shop, depth), "content")
+        best = W.partitionBy("client_id").orderBy(F.desc("ct"), "product_id")
+        listed = content.withColumn("place", F.row_number().over(best)).where(F.col("place") <= depth)
+        listed = materialize(listed, "content-lists") if mixed else listed
+        ct_range = content.groupBy("client_id").agg(F.min("ct").alias("ct_lo"), F.max("ct").alias("ct_hi"))
+        ct_range = materialize(ct_range, "content-ranges")
+        scores = listed.where(F.col("place") <= k).join(ct_range, "client_id").select(
+            "client_id", "product_id", _min_max("ct", "ct_lo", "ct_hi").alias("score"))
+        out += [_listed(scores, name, k) for name, a in models.items() if a == 0]
+    if use_collab:
+        if blocks is None or shards is None:
+            blocks, shards = _grid(task.size, clients.count(), task.spark.sparkContext.defaultParallelism)
+        per_block = max(k, -(-2 * depth // blocks)) if mixed and blocks > 1 else depth
+        cells = collaborative_scores(scored, task.links, per_block, blocks, shards, listed if mixed else None)
+        cells = materialize(cells, "collaborative")
+        firsts = cells.where("place = 1").groupBy("client_id").agg(
+            F.sum("known").alias("known"), F.min("least").alias("least"), F.max("cf").alias("cf_hi"))
+        # the smallest score is 0 unless every unbought product has one
+        low = F.when(F.col("known") >= F.col("free"), F.col("least")).otherwise(dbl(0))
+        cf_range = materialize(free.join(firsts, "client_id", "left").select(
+            "client_id", F.coalesce(low, dbl(0)).alias("cf_lo"), F.coalesce("cf_hi", dbl(0)).alias("cf_hi")), "collaborative-ranges")
+        best = W.partitionBy("client_id").orderBy(F.desc("cf"), "product_id")
+        known = cells.where("cf > 0").withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= k) \
+            .select("client_id", "product_id", "cf")
+        if any(a == 1 for a in models.values()):
+            scores = _filled(materialize(known, "collaborative-lists"), clients, scored, task.products, k) \
+                .join(cf_range, "client_id").select("client_id", "product_id", _min_max("cf", "cf_lo", "cf_hi").alias("score"))
+            out += [_listed(scores, name, k) for name, a in models.items() if a == 1]
+    if mixed:
+        both = with_content(cells.select("client_id", "product_id", "cf"), profile, shop).join(cf_range, "client_id").join(ct_range, "client_id")
+        both = materialize(both.select("client_id", "product_id", _min_max("cf", "cf_lo", "cf_hi").alias("x"),
+                                       _min_max("ct", "ct_lo", "ct_hi").alias("y")), "both-scores")
+        # what is in neither list has at most the last score of each; a list that ends early holds all there is
+        cut = cells.where((F.col("place") == per_block) & (F.col("known") > per_block)).groupBy("client_id").agg(F.max("cf").alias("cf_at"))
+        end = listed.where(F.col("place") == depth).select("client_id", F.col("ct").alias("ct_at"))
+        bound = cut.join(end, "client_id").join(cf_range, "client_id").join(ct_range, "client_id").select(
+            "client_id", _min_max("cf_at", "cf_lo", "cf_hi").alias("x_at"), _min_max("ct_at", "ct_lo", "ct_hi").alias("y_at"))
+        bound = materialize(bound, "bounds")
+        for name, a in mixed.items():
+            mix = lambda x, y, a=a: dbl(a) * F.col(x) + dbl(1 - a) * F.col(y)
+            answers = materialize(_listed(both.select("client_id", "product_id", mix("x", "y").alias("score")), name, k), "hybrid-lists")
+            last = answers.where(F.col("rank") == k).select("client_id", F.col("score").alias("reached"))
+            late = bound.join(last, "client_id", "left").where(
+                F.col("reached").isNull() | (mix("x_at", "y_at") + dbl(1e-9) >= F.col("reached"))).select("client_id")
+            late = materialize(late, "unsettled")
+            if depth >= task.size or late.isEmpty():
+                out.append(answers)
+                continue
+            out.append(answers.join(late, "client_id", "left_anti"))
+            only = lambda df, late=late: df.join(late, "client_id", "left_semi")
+            out.append(_recommend(task, materialize(only(scored), "scored"), materialize(only(profile), "profile"),
+                                  materialize(only(free), "free"), {name: a}, blocks, shards, 8 * depth))
+    found = out[0]
+    for rows in out[1:]:
+        found = found.unionByName(rows)
+    return found
 
 
 def with_names(answers: DataFrame, products: DataFrame, of: str = "product_id") -> DataFrame:
