@@ -17,8 +17,10 @@ from tradewind.functions.storage import materialize
 
 def with_running_sums(df: DataFrame, order: list[str], sums: dict[str, str]) -> DataFrame:
     """Add running sums ``{new column: summed column}`` in ascending ``order``."""
+    # as many slices as the session's shuffles have tasks: left to itself, Spark would join small ones into one task
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = materialize(
-        df.repartitionByRange(*order).withColumn("slice_no", F.spark_partition_id()), "slices")
+        df.repartitionByRange(slices, *order).withColumn("slice_no", F.spark_partition_id()), "slices")
     per_slice = sliced.groupBy("slice_no").agg(*[F.sum(c).alias(f"total_{n}") for n, c in sums.items()])
     # one row per slice: bounded by the number of shuffle partitions
     before = W.partitionBy(F.lit(0)).orderBy("slice_no").rowsBetween(W.unboundedPreceding, -1)

@@ -70,7 +70,7 @@ class Catalogue:
 
     def __init__(self, products: DataFrame) -> None:
         self.size = products.count()
-        width = max(16, min(4096, math.isqrt(self.size) // 2))
+        width = max(16, min(4096, math.isqrt(self.size)))
         order = ["category", "brand", "p", "product_id"]
         placed = with_running_sums(content_features(products).withColumn("one", F.lit(1)), order, {"number": "one"})
         placed = materialize(placed.drop("one").withColumn("slot", F.floor(F.col("number") / F.lit(width))), "price-order")
