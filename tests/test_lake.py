@@ -1,10 +1,12 @@
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
 from tradewind import schema
 from tradewind.operators.cleaning import key_audit, one_row_per_key
 from tradewind.sources import lake, reports
+from tradewind.sources import lake as lake_tables
 
 BOM = "﻿"
 
@@ -99,3 +101,31 @@ def test_run_all(spark, sf_dir, tmp_path):
     assert published.where("kind = 'forecast'").count() == 6 * 30
     features = reports.read_report(spark, str(tmp_path / "reports/models/product_features"))
     assert features.count() == 200 and {"category", "brand", "p", "m"} <= set(features.columns)
+
+
+def month_sales(spark, rows):
+    return spark.createDataFrame(rows, "sale_id string, sale_date date, amount bigint")
+
+
+def test_one_month_is_replaced_and_the_others_stay(spark, tmp_path):
+    lake = str(tmp_path)
+    day = dt.date
+    lake_tables.write_sales_by_month(month_sales(spark, [("a", day(2024, 1, 5), 1), ("b", day(2024, 2, 1), 2), ("c", day(2024, 2, 9), 3), ("d", None, 4)]), lake)
+    lake_tables.write_sales_by_month(month_sales(spark, [("e", day(2024, 2, 2), 5)]), lake)
+    assert {r.sale_id for r in lake_tables.read_sales_between(spark, lake).collect()} == {"a", "d", "e"}
+    some = lake_tables.read_sales_between(spark, lake, "2024-02-01", "2024-02-29")
+    assert [tuple(r) for r in some.collect()] == [("e", day(2024, 2, 2), 5)]
+    plan = some._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*month", plan)
+
+
+def test_malformed_lines_are_put_aside(spark, tmp_path):
+    from tradewind.schema import PRODUCTS
+
+    (tmp_path / "p.csv").write_text("product_id,name,category,brand,list_price,unit_cost,stock\n1,a,c,b,10,5,3\n2,a,c,b,ten,5,3\n"
+                                    "1,a,c,b,10,5,3\n3,a,c,b,10\n,a,c,b,10,5,3\n")
+    audit = lake_tables.ingest_checked(spark, str(tmp_path / "p.csv"), str(tmp_path / "lake"), PRODUCTS).first()
+    assert tuple(audit) == ("products", 5, 1, 2, 2)
+    aside = lake_tables.read_lake(spark, f"{tmp_path}/lake/quarantine", "products").collect()
+    assert {(r.key, r.line) for r in aside} == {("2", "2,a,c,b,ten,5,3"), ("3", "3,a,c,b,10")}
+    assert [r.product_id for r in lake_tables.read_lake(spark, f"{tmp_path}/lake", "products").collect()] == [1]

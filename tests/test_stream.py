@@ -37,13 +37,40 @@ def test_totals_equal_batch_and_survive_a_restart(spark, tmp_path):
     def run():
         live = st.totals_by_category(st.decode(st.text_source(spark, inbox, maxFilesPerTrigger="1")))
         st.run_complete(live, out, checkpoint)
-        return {tuple(r) for r in spark.read.parquet(out).collect()}
+        return {tuple(r) for r in st.read_current(spark, out).collect()}
 
     assert run() == expected(spark, range(17))
     send(spark, inbox, range(17, 30))
     assert run() == expected(spark, range(30))
 
 
+def test_readers_see_whole_versions_and_a_new_run_leaves_nothing_stale(spark, tmp_path):
+    out = str(tmp_path / "out")
+
+    def run(inbox, checkpoint):
+        live = st.totals_by_category(st.decode(st.text_source(spark, str(tmp_path / inbox), maxFilesPerTrigger="1")))
+        st.run_complete(live, out, str(tmp_path / checkpoint))
+
+    for ids in (range(0, 8), range(8, 30)):
+        send(spark, str(tmp_path / "first"), ids)
+    run("first", "c1")
+    held = st.read_current(spark, out)                  # a reader that keeps its version
+    before = {tuple(r) for r in held.collect()}
+    assert before == expected(spark, range(30))
+    send(spark, str(tmp_path / "second"), [0, 4])       # fewer categories than before
+    run("second", "c2")
+    assert {tuple(r) for r in st.read_current(spark, out).collect()} == expected(spark, [0, 4])
+    assert {tuple(r) for r in held.collect()} == before
+    (tmp_path / "third").mkdir()
+    run("third", "c3")                                   # a stream without messages: a result without rows
+    assert st.read_current(spark, out).count() == 0
+    send(spark, str(tmp_path / "second"), [8])
+    run("second", "c2")                                  # a checkpoint from before goes on with its totals
+    assert {tuple(r) for r in st.read_current(spark, out).collect()} == expected(spark, [0, 4, 8])
+    run("second", "c2")                                  # and without new messages the result stays
+    assert {tuple(r) for r in st.read_current(spark, out).collect()} == expected(spark, [0, 4, 8])
+
+
 def test_running_totals_across_batches(spark, tmp_path):
     inbox, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
 
@@ -78,7 +105,7 @@ def test_empty_stream(spark, tmp_path):
     inbox.mkdir()
     live = st.decode(st.text_source(spark, str(inbox)))
     st.run_complete(st.totals_by_category(live), str(tmp_path / "out"), str(tmp_path / "c"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 0
+    assert st.read_current(spark, str(tmp_path / "out")).count() == 0
 
 
 def test_sales_stream_reads_a_table_of_many_files(spark, sf_dir, tmp_path):

@@ -18,6 +18,20 @@ def month_label(month_key: Column) -> Column:
     )
 
 
+# Names of the monitored indicators in the report.
+INDICATOR_LABELS = {
+    "daily_demand": "Demand per day",
+    "unit_price": "Sale price",
+    "category_mix": "Category mix",
+}
+
+
+def indicator_label(indicator: Column) -> Column:
+    """The report's name of an indicator; an unknown one keeps its own."""
+    named = F.create_map(*[F.lit(x) for pair in INDICATOR_LABELS.items() for x in pair])
+    return F.coalesce(F.try_element_at(named, indicator), indicator)
+
+
 def grouped_digits(amount: Column) -> Column:
     """``1234567.4`` to ``1 234 567``."""
     return F.regexp_replace(F.format_number(F.bround(amount, 0), 0), ",", " ")

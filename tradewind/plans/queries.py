@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tradewind.functions.running import with_running_sums
 from tradewind.functions.storage import fresh_path, materialize
 from tradewind.operators import (
-    cleaning, drift, forecast, history, metrics, pricing, profile, quality, recommend, series, similarity, stock,
+    cleaning, drift, forecast, history, metrics, preview, pricing, profile, quality, recommend, series, similarity, stock,
 )
-from tradewind.functions.text import grouped_digits, month_label
-from tradewind.sources import reports
+from tradewind.functions.text import grouped_digits, indicator_label, month_label
+from tradewind.schema import PRODUCTS
+from tradewind.sources import lake, reports
 from tradewind.sources.star import SALES_WINDOW, Star
 from tradewind.streaming import sales_stream
 
@@ -53,6 +54,36 @@ def ingest_audit(s: Star) -> DataFrame:
         "events": (s.events, "event_id")})
 
 
+def _messy_products(s: Star) -> str:
+    """The products as CSV, with a price that is no number in one line of ten and every seventh line twice."""
+    folder = fresh_path(s.spark, "raw-products")
+    price = F.when(F.col("product_id") % 10 == 3, F.concat(F.lit("?"), F.col("list_price"))).otherwise(F.col("list_price").cast("string"))
+    rows = s.products.withColumn("list_price", price)
+    rows.unionByName(rows.where("product_id % 7 = 0")).write.option("header", True).csv(folder)
+    return folder
+
+
+@query
+def csv_audit(s: Star) -> DataFrame:
+    return lake.ingest_checked(s.spark, _messy_products(s), fresh_path(s.spark, "lake"), PRODUCTS)
+
+
+@query
+def csv_products(s: Star) -> DataFrame:
+    """What the lake holds of them."""
+    folder = fresh_path(s.spark, "lake")
+    lake.ingest_checked(s.spark, _messy_products(s), folder, PRODUCTS)
+    return lake.read_lake(s.spark, folder, "products")
+
+
+@query
+def csv_quarantine(s: Star) -> DataFrame:
+    """The lines put aside."""
+    folder = fresh_path(s.spark, "lake")
+    lake.ingest_checked(s.spark, _messy_products(s), folder, PRODUCTS)
+    return lake.read_lake(s.spark, f"{folder}/quarantine", "products")
+
+
 @query
 def quality_report(s: Star) -> DataFrame:
     return quality.quality_report(
@@ -69,6 +100,31 @@ def orphan_keys(s: Star) -> DataFrame:
     return quality.orphan_keys(s.sales, s.events, s.clients, s.products, s.promotions)
 
 
+@query
+def revenue_of_two_years(s: Star) -> DataFrame:
+    """Revenue per month of 1998 and 1999, from a lake with a folder per month."""
+    folder = fresh_path(s.spark, "lake")
+    lake.write_sales_by_month(s.sales, folder)
+    return metrics.revenue_by_month(lake.read_sales_between(s.spark, folder, "1998-01-01", "1999-12-31"))
+
+
+@query
+def sales_preview(s: Star) -> DataFrame:
+    """The first sales in time."""
+    return preview.first_rows(s.sales, 20, "sale_date", "sale_id")
+
+
+@query
+def sales_sample(s: Star) -> DataFrame:
+    """Twenty sales, the same on every run."""
+    return preview.seeded_sample(s.sales, 20, "sale_id")
+
+
+@query
+def product_sample(s: Star) -> DataFrame:
+    return preview.seeded_sample(s.products, 5, "product_id", seed=7)
+
+
 # --- revenue and key indicators -----------------------------------------------------------
 
 @query
@@ -304,6 +360,11 @@ def drift_report(s: Star) -> DataFrame:
     return drift.drift_report(s.sales, s.products)
 
 
+@query
+def drift_report_labelled(s: Star) -> DataFrame:
+    return drift_report(s).select(indicator_label(F.col("indicator")).alias("label"), "psi", "verdict")
+
+
 @query
 def drift_alert(s: Star) -> DataFrame:
     return drift.drift_alert(drift_report(s))
@@ -430,14 +491,14 @@ def _live_events(s: Star) -> DataFrame:
 def stream_totals_by_category(s: Star) -> DataFrame:
     out, checkpoint = _stream_paths(s, "categories")
     sales_stream.run_complete(sales_stream.totals_by_category(_live_events(s)), out, checkpoint)
-    return s.spark.read.parquet(out).orderBy(F.desc("n_sales"), "category")
+    return sales_stream.read_current(s.spark, out).orderBy(F.desc("n_sales"), "category")
 
 
 @query
 def stream_totals(s: Star) -> DataFrame:
     out, checkpoint = _stream_paths(s, "totals")
     sales_stream.run_complete(sales_stream.totals(_live_events(s)), out, checkpoint)
-    return s.spark.read.parquet(out)
+    return sales_stream.read_current(s.spark, out)
 
 
 @query

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, TimestampType
+from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
+from tradewind.functions.storage import stored
 from tradewind.operators.cleaning import one_row_per_key
 from tradewind.schema import TABLES, Table
 
@@ -16,6 +17,38 @@ def read_csv(spark: SparkSession, path: str, table: Table) -> DataFrame:
         .option("mode", "PERMISSIVE").csv(path)
 
 
+MALFORMED = "_malformed"
+
+
+def read_csv_checked(spark: SparkSession, path: str, table: Table) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, quarantine): a line with a field that does not fit its type, or too few or too many fields, is not
+    typed with nulls but put aside as ``(table_name, <key> as text, line)``."""
+    schema = StructType([*table.schema.fields, StructField(MALFORMED, StringType())])
+    rows = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8") \
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).csv(path)
+    # the parser tells a malformed line only where all its fields are read, so the lines are read once, whole
+    whole = stored(rows, "csv-lines")
+    typed = whole.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+    aside = whole.where(F.col(MALFORMED).isNotNull()).select(
+        F.lit(table.name).alias("table_name"), F.col(table.key).cast("string").alias("key"), F.col(MALFORMED).alias("line"))
+    return typed, aside
+
+
+def ingest_checked(spark: SparkSession, csv: str, lake: str, table: Table) -> DataFrame:
+    """Ingest one table with its malformed lines put aside in ``<lake>/quarantine/<table>``; returns the audit (table_name,
+    rows_read, rows_kept, rows_removed, rows_quarantined), in which rows read are typed ones and those put aside."""
+    typed, aside = read_csv_checked(spark, csv, table)
+    write_lake(aside, f"{lake}/quarantine", table.name)
+    seen, kept = Observation(f"{table.name}_typed"), Observation(f"{table.name}_clean")
+    rows = typed.observe(seen, F.count(F.lit(1)).alias("n"))
+    write_lake(one_row_per_key(rows, table.key).observe(kept, F.count(F.lit(1)).alias("n")), lake, table.name)
+    n_aside = read_lake(spark, f"{lake}/quarantine", table.name).count()
+    n_typed, n_kept = seen.get["n"], kept.get["n"]
+    return spark.createDataFrame(
+        [(table.name, n_typed + n_aside, n_kept, n_typed - n_kept, n_aside)],
+        "table_name string, rows_read bigint, rows_kept bigint, rows_removed bigint, rows_quarantined bigint")
+
+
 def read_csv_lenient(spark: SparkSession, path: str, table: Table) -> DataFrame:
     """CSV read as text and converted field by field; what does not convert becomes null."""
     names = table.schema.fieldNames()
@@ -44,6 +77,29 @@ def write_lake(df: DataFrame, lake: str, name: str, partition_by: str | None = N
     writer.parquet(f"{lake}/{name}")
 
 
+def write_sales_by_month(sales: DataFrame, lake: str, files: int = 8) -> None:
+    """Sales in one folder per month, ``month=YYYY-MM``. Only the months that ``sales`` has are replaced, whole; running it
+    again gives the same table. A month is written by up to ``files`` tasks, so a hot one is not one task's work."""
+    part = F.pmod(F.xxhash64("sale_id"), F.lit(files))
+    sales.withColumn("month", F.date_format("sale_date", "yyyy-MM")).repartition("month", part) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(f"{lake}/sales_by_month")
+
+
+def read_sales_between(spark: SparkSession, lake: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Sales of ``first``..``last`` (``YYYY-MM-DD``, both included); other months' folders are not read."""
+    rows = spark.read.schema(_by_month(spark, lake)).parquet(f"{lake}/sales_by_month")
+    for bound, keeps in ((first, lambda c, v: c >= v), (last, lambda c, v: c <= v)):
+        if bound is not None:
+            rows = rows.where(keeps(F.col("month"), F.lit(bound[:7])) & keeps(F.col("sale_date"), F.lit(bound).cast("date")))
+    return rows.drop("month")
+
+
+def _by_month(spark: SparkSession, lake: str) -> StructType:
+    """The table's schema with the month as text, not as what its folder names look like."""
+    found = spark.read.parquet(f"{lake}/sales_by_month").schema
+    return StructType([StructField(f.name, StringType() if f.name == "month" else f.dataType) for f in found])
+
+
 def ingest_table(spark: SparkSession, csv: str, lake: str, table: Table, lenient: bool = False) -> tuple[str, int, int]:
     """Read, clean and write one table in one pass: (name, rows read, rows kept)."""
     source = (read_csv_lenient if lenient else read_csv)(spark, csv, table)

@@ -84,19 +84,46 @@ def run_append(stream: DataFrame, out: str, checkpoint: str, fmt: str = "parquet
         .outputMode("append").trigger(availableNow=True).start().awaitTermination()
 
 
+_POINTER = "run int, batch bigint, checkpoint string"
+
+
+def _pointer(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.schema(_POINTER).parquet(f"{out}/pointer")
+
+
 def run_complete(aggregate: DataFrame, out: str, checkpoint: str) -> None:
-    """Keep ``out`` at the latest full result of a streaming aggregate, then stop.
+    """Publish the full results of a streaming aggregate as versions of ``out``, then stop.
 
-    Rewriting a batch gives the same files, so a repeated batch does no harm.
+    Every batch writes a version of its own and then one row into the pointer table, by which :func:`read_current` finds the
+    latest: a reader sees the version before or the one after, never a part. A repeated batch writes its version again, with
+    the same rows. Every call is a run, whose versions supersede those of the runs before: with a known checkpoint they go on
+    from its totals, with a new one on an old ``out`` they begin anew and nothing of the older results stays. A new checkpoint
+    whose stream delivers nothing leaves a version without rows.
     """
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    _empty_first(aggregate, out)
-    aggregate.writeStream.outputMode("complete").foreachBatch(replace) \
+    spark = aggregate.sparkSession
+    spark.createDataFrame([], _POINTER).write.mode("append").parquet(f"{out}/pointer")
+    last = _pointer(spark, out).agg(
+        F.coalesce(F.max("run"), F.lit(0)).alias("run"), F.count_if(F.col("checkpoint") == checkpoint).alias("known")).first()
+    run = last["run"] + 1
+
+    def publish(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/versions/run-{run}/batch-{batch}")
+        rows.sparkSession.range(1).select(
+            F.lit(run).alias("run"), F.lit(batch).cast("bigint").alias("batch"), F.lit(checkpoint).alias("checkpoint")) \
+            .coalesce(1).write.mode("append").parquet(f"{out}/pointer")
+
+    if not last["known"]:
+        publish(spark.createDataFrame([], aggregate.schema), -1)
+    aggregate.writeStream.outputMode("complete").foreachBatch(publish) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def read_current(spark: SparkSession, out: str) -> DataFrame:
+    """The latest version that :func:`run_complete` has published in ``out``."""
+    at = _pointer(spark, out).agg(F.max(F.struct("run", "batch")).alias("at")).first()["at"]
+    return spark.read.parquet(f"{out}/versions/run-{at['run']}/batch-{at['batch']}")
+
+
 def run_running_totals(events: DataFrame, out: str, checkpoint: str, order: list[str]) -> None:
     """Per-event running count and revenue across micro-batches.
 
