@@ -176,6 +176,21 @@ def _enough(count: str, n: str, last: str, n2: str, last2: str):
     return ((4 * F.least(n, n2) >= 3 * F.greatest(n, n2)) & (7 * (F.col(count) + most) >= 3 * (F.col(n) + F.col(n2))))
 
 
+def _several(census: DataFrame) -> DataFrame:
+    """The ids that rows of different sets share."""
+    some = F.xxhash64("key")
+    return census.where("key is not null and doc_id is not null").groupBy("doc_id").agg(
+        F.min(some).alias("a"), F.max(some).alias("b")).where("a <> b").select("doc_id")
+
+
+def _bridges(census: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of rows that share an id."""
+    ids = _several(census).withColumnRenamed("doc_id", "_id")
+    own = census.join(ids, F.col("doc_id") == F.col("_id")).where("key is not null").select("doc_id", "key").distinct().join(classes, "key")
+    return own.groupBy("doc_id").agg(F.min("rep").alias("a")).join(own.select("doc_id", F.col("rep").alias("b")), "doc_id") \
+        .where("a <> b").select("a", "b")
+
+
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -247,7 +262,7 @@ def find(docs: DataFrame) -> DataFrame:
     s, t = marked.alias("p"), marked.alias("q")
     within = s.join(t, (F.col("p.g") == F.col("q.g")) & apart).select(*shown)
     more = _checked(across.unionByName(within).distinct(), docs)
-    joined = components(ties.unionByName(more))
+    joined = components(ties.unionByName(more).unionByName(stored(_bridges(census, classes), "bridges")))
     of_class = classes.join(joined, F.col("rep") == F.col("id"), "left").select(
         F.col("key").alias("_key"), F.coalesce("label", "rep").alias("component_id"))
     out = census.where("token is null").join(of_class, F.col("key") == F.col("_key"), "left")
@@ -257,6 +272,10 @@ def find(docs: DataFrame) -> DataFrame:
 
 def drop(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component: the one whose id names it. All columns stay as they are. Rows
-    without an id stay."""
-    lost = find(docs).where("doc_id <> component_id").select("doc_id")
-    return without(docs, stored(lost, "near-copies"))
+    without an id stay, and rows whose id has several different texts, so that no text goes with another's."""
+    found = stored(find(docs), "near-duplicates")
+    lost = found.where("doc_id <> component_id").select("doc_id")
+    typed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    repeated = stored(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated-ids")
+    several = _several(only_wanted(typed, repeated).mapInArrow(_census, _CENSUS).where("token is null"))
+    return without(docs, stored(lost.join(several, "doc_id", "left_anti"), "near-copies"))
