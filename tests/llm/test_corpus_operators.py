@@ -260,13 +260,26 @@ def test_mixing(spark, corpus, empty):
 
 def test_seats_are_the_highest_quotients(spark):
     rng = np.random.default_rng(3)
-    for _ in range(3):
-        claims = rng.integers(1, 1000, 12).astype(float)
-        seats = int(rng.integers(1, 400))
+    cases = [(rng.integers(1, 1000, 12).astype(float), int(rng.integers(1, 400))) for _ in range(3)]
+    cases += [(np.array([100.0] + [0.6] * 200), 220), (np.array([0.0, 5.0, 5.0, 0.0]), 3), (np.full(50, 2.0), 20), (np.array([7.0, 1.0]), 0),
+              (np.array([1e6] + [1.0] * 30), 400)]
+    for claims, seats in cases:
         parts = spark.createDataFrame([(0, float(c), k, seats) for k, c in enumerate(claims)], "g int, claim double, tie int, seats bigint")
         got = {r["tie"]: r["quota"] for r in mixing.apportion(parts, ["g"], "claim", "seats").collect()}
-        quotients = sorted(((c / (2 * k - 1), -i) for i, c in enumerate(claims) for k in range(1, seats + 1)), reverse=True)[:seats]
-        assert [got[i] for i in range(12)] == [sum(-q[1] == i for q in quotients) for i in range(12)]
+        quotients = sorted(((c / (2 * k - 1), -i) for i, c in enumerate(claims) if c for k in range(1, seats + 1)), reverse=True)[:seats]
+        assert [got[i] for i in range(len(claims))] == [sum(-q[1] == i for q in quotients) for i in range(len(claims))]
+
+
+def test_seats_of_many_shards(spark):
+    claims = np.random.default_rng(8).integers(0, 50, 5000).astype(float)
+    for seats in (7, 2600, 130_000):
+        parts = spark.createDataFrame([(0, float(c), k, seats) for k, c in enumerate(claims)], "g int, claim double, tie int, seats bigint")
+        got = {r["tie"]: r["quota"] for r in mixing.apportion(parts, ["g"], "claim", "seats").collect()}
+        k = np.arange(1, 150)
+        quotient = np.round(claims[:, None] / (2 * k - 1), 12)
+        order = np.lexsort((np.repeat(np.arange(5000), len(k)), -quotient.ravel()))[:seats]
+        want = np.bincount(order // len(k), minlength=5000)
+        assert sum(got.values()) == seats and [got[i] for i in range(5000)] == want.tolist()
 
 
 def test_quality(spark, corpus, empty):

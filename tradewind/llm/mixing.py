@@ -60,19 +60,27 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
 
 def apportion(parts: DataFrame, by: list[str], claim: str, seats: str) -> DataFrame:
     """``parts`` with ``quota``: the whole numbers that share ``seats`` (one number per group ``by``) among the rows of
-    the group by Sainte-Laguë, ties in the order of ``tie``. A row's lower quota, less two for the rare case that the
-    method stays below it, is certain; the highest quotients of the next five seats of each row share what is left."""
+    the group by Sainte-Laguë, ties in the order of ``tie``.
+
+    A claim c has floor((c / q + 1) / 2) quotients of q or more, between c / 2q - 1/2 and c / 2q + 1/2. So with n claims
+    that sum to t, at most ``seats`` quotients reach t / (2 seats - n) (none is above the largest claim), and at least
+    ``seats`` reach t / (2 seats + n). Quotients above the first are certain, those below the second are out, and the at
+    most 2n between them are ranked."""
     group = Window.partitionBy(*by)
-    total = F.sum(claim).over(group)
-    exact = F.when(total > 0, F.col(claim) * F.col(seats) / total).otherwise(F.lit(0.0))
-    sure = parts.withColumn("_sure", F.greatest(F.floor(exact) - 2, F.lit(0)))
+    total, n = F.sum(claim).over(group), F.sum((F.col(claim) > 0).cast("bigint")).over(group)
+    known = parts.withColumns({"_total": total.cast("double"), "_n": n, "_top": F.max(claim).over(group).cast("double")})
+    tight = 2 * F.col(seats) - F.col("_n")
+    high = F.when(tight > 0, F.least("_top", F.col("_total") / tight)).otherwise(F.col("_top")) * (1 + 1e-9)
+    low = F.col("_total") / (2 * F.col(seats) + F.col("_n")) * (1 - 1e-9)
+    reach = lambda q: F.when(F.col(claim) > 0, F.floor((F.col(claim) / q + 1) / 2)).otherwise(F.lit(0))
+    sure = known.withColumns({"_sure": reach(high), "_most": reach(low)})
     sure = sure.withColumn("_open", F.col(seats) - F.sum("_sure").over(group))
-    tried = sure.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(5))))
-    quotient = F.col(claim) / (2 * (F.col("_sure") + F.col("_k")) - 1)
-    rank = F.row_number().over(group.orderBy(quotient.desc(), "tie", "_k"))
-    won = tried.withColumn("_won", ((rank <= F.col("_open")) & (F.col(claim) > 0)).cast("bigint"))
-    keys = [c for c in parts.columns]
-    return won.groupBy(*keys, "_sure").agg(F.sum("_won").alias("_won")).withColumn(
+    tried = sure.withColumn("_k", F.explode_outer(
+        F.when(F.col("_most") > F.col("_sure"), F.sequence(F.col("_sure") + 1, F.col("_most")))))
+    quotient = F.col(claim) / (2 * F.col("_k") - 1)
+    rank = F.row_number().over(group.orderBy(quotient.desc_nulls_last(), "tie", "_k"))
+    won = tried.withColumn("_won", (F.col("_k").isNotNull() & (rank <= F.col("_open"))).cast("bigint"))
+    return won.groupBy(*parts.columns, "_sure").agg(F.sum("_won").alias("_won")).withColumn(
         "quota", F.col("_sure") + F.col("_won")).drop("_sure", "_won")
 
 
