@@ -24,8 +24,9 @@ _CUT = re.compile(r"(?<=[!-~À-ÖØ-öø-ſ])(?=[ \n])")
 
 
 class Encoder:
-    #: Distinct chunks kept; beyond it the store is begun anew.
-    KEPT = 1_000_000
+    #: Bytes that the store of chunks may take, at about OWN bytes a chunk besides its characters and ids; beyond them the
+    #: store is begun anew. A worker keeps a store for each vocabulary.
+    KEPT, OWN = 96 << 20, 160
     #: Characters of text cut at a time.
     SLICE = 1 << 21
 
@@ -38,9 +39,13 @@ class Encoder:
 
     def _reset(self) -> None:
         self.known: dict[str, int] = {}
+        self.held = 0
         self.flat, self.filled = np.zeros(1 << 16, np.uint32), 0
         self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
+    def _weight(self, keys: set[str]) -> int:
+        return self.OWN * len(keys) + 5 * sum(map(len, keys))
+
     def _learn(self, keys: list[str]) -> None:
         """A key is a chunk after a space; after a line feed, which it begins with; or, behind a NUL, as it stands."""
         for at in range(0, len(keys), 4096):
@@ -85,9 +90,10 @@ class Encoder:
     def _encode(self, rows: list[list[str]]) -> Iterator[np.ndarray]:
         new = set(chain.from_iterable(rows)).difference(self.known)
         if new:
-            if len(self.known) + len(new) > self.KEPT:
+            if self.held + self._weight(new) > self.KEPT:
                 self._reset()
                 new = set(chain.from_iterable(rows))
+            self.held += self._weight(new)
             self._learn(sorted(new))
         counts = np.fromiter(map(len, rows), np.int64, len(rows))
         codes = np.fromiter(map(self.known.__getitem__, chain.from_iterable(rows)), np.int64, int(counts.sum()))
