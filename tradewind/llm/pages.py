@@ -4,7 +4,9 @@ A page becomes a tree of its block elements; inline elements count as tags of th
 no article by their tag, role, class or id (menus, headers, footers, sidebars, notices, adverts, forms, comments,
 scripts, styles) are left out. A whole token of class or role has to say so (``site-footer`` does, ``social-impact``
 does not); an id counts on a ``div``, and outside articles on a ``section`` and lists, as ids of headings and what stands
-under them are slugs of titles. For every remaining node
+under them are slugs of titles; an id that names comments counts in articles too. A form goes unless it wraps the page: it
+stays if an ``article`` or ``main`` stands in it, or half of the page's characters with a paragraph. For every remaining
+node
 
     density = C/T * log base ln(C/nLC * LC + LCb/Cb * C + e) of (C/LC * T/LT)
 
@@ -14,7 +16,8 @@ the body is the threshold, and further nodes at or above it add their own larges
 and short sections of an article, so every outer ``article`` or ``main`` with text is taken whole besides.
 
 Defined results: null or empty html, or html without text in its body, gives an empty text. Broken html is read as
-browsers do in the common cases (unclosed p, li, td; stray end tags; end of file anywhere; elements without a body).
+browsers do in the common cases (unclosed p, li, td; stray end tags; end of file anywhere; elements without a body). From a
+tag on whose quotes never close, tags end at the next ``>``; a tag that never ends is text. Time follows the length of a page.
 Repeated rows are extracted one by one. Depth is limited by nothing but memory: no step is recursive.
 """
 
@@ -23,6 +26,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,7 +56,9 @@ LAYOUT_WORDS = frozenset(
 COMMENT_WORDS = frozenset("comment comments".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+                    r"|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+_REST = re.compile(r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")  # of a tag, behind its name
+_PLAIN_REST = re.compile(r"([^>]*+)>")
 _TELLING = re.compile(r"class|id|role|style", re.I)  # in attributes that can leave an element out (hidden has id too)
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
@@ -91,7 +97,7 @@ def _is_bad(tag: str, raw: str, inside: bool) -> bool:
     if tag in ("main", "body", "html"):
         return False
     if tag in NEVER:
-        return not (tag == "header" and inside)
+        return not (tag == "header" and inside or tag == "form" and not inside)
     if not _TELLING.search(raw):
         return False
     given = _attributes(raw)
@@ -102,6 +108,8 @@ def _is_bad(tag: str, raw: str, inside: bool) -> bool:
         return True
     if any(_names_bad(x, inside) for x in tokens + given.get("role", "").split()):
         return True
+    if tag in OUTSIDE_IDS and _names_bad(given.get("id", "").strip(), inside, COMMENT_WORDS):
+        return True
     titled = tag != "div" or any(x.lower() == "section" for x in tokens)  # its id can be the slug of a title
     if titled and (inside or tag not in OUTSIDE_IDS):
         return False
@@ -114,6 +122,10 @@ def parse(page: str) -> Node:
     stack: list[tuple[str, Node]] = [("html", root)]  # open elements and the block each writes to
     links = whole = 0
     at, end = 0, len(page)
+    opened = Counter(["html"])
+    unclosed: set[str] = set()  # kinds of raw elements that do not end in the rest of the page
+    forms: list[Node] = []
+    rest_of = _REST
 
     def text(raw: str) -> None:
         node = stack[-1][1]
@@ -129,6 +141,7 @@ def parse(page: str) -> Node:
     def pop() -> None:
         nonlocal links, whole
         tag, _ = stack.pop()
+        opened[tag] -= 1
         links -= tag == "a"
         whole -= tag in WHOLE
 
@@ -143,7 +156,18 @@ def parse(page: str) -> Node:
             if found[0].startswith("<![CDATA["):
                 text(found[0][9:-3])
             continue
+        rest = rest_of and rest_of.match(page, at)
+        if rest_of is _REST and not rest:
+            rest_of = _PLAIN_REST
+            rest = rest_of.match(page, at)
+        if not rest:
+            rest_of = None
+            text(found[0])
+            continue
+        at, raw = rest.end(), rest[1]
         tag, closing = found[2].lower(), found[1]
+        if closing and not opened[tag]:
+            continue
         if closing:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
@@ -154,7 +178,9 @@ def parse(page: str) -> Node:
                     break
             continue
         if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            stop = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if not stop:
+                unclosed.add(tag)
             at = stop.end() if stop else (end if tag in ("script", "style", "textarea", "title") else at)
             continue
         if tag in ("html", "body"):
@@ -162,6 +188,7 @@ def parse(page: str) -> Node:
                 while len(stack) > 1:
                     pop()
                 stack.append(("body", root))
+                opened["body"] += 1
             continue
         if tag in INLINE or tag in VOID:
             node = stack[-1][1]
@@ -172,12 +199,14 @@ def parse(page: str) -> Node:
                 node.parts.append(" ")
             if tag == "hr":
                 node.parts.append(Node("hr", node))
-            if tag not in VOID and not found[3].endswith("/"):
+            if tag not in VOID and not raw.endswith("/"):
                 if tag == "a":
                     links += 1
-                stack.append((tag, Node("bad", node, True) if node.bad or _is_bad(tag, found[3], whole > 0) else node))
+                stack.append((tag, Node("bad", node, True) if node.bad or _is_bad(tag, raw, whole > 0) else node))
+                opened[tag] += 1
             continue
-        for k in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph; list items and cells end their like
+        ended = opened["p"] or any(opened[x] for x in CLOSES.get(tag, ()))
+        for k in range(len(stack) - 1 if ended else 0, 0, -1):  # a block ends an open paragraph; list items and cells end their like
             open_tag = stack[k][0]
             if open_tag == "p" or open_tag in CLOSES.get(tag, ()):
                 while len(stack) > k:
@@ -187,19 +216,42 @@ def parse(page: str) -> Node:
             if open_tag in HOLDS:
                 break
         above = stack[-1][1]
-        node = Node(tag, above, above.bad or _is_bad(tag, found[3], whole > 0))
+        node = Node(tag, above, above.bad or _is_bad(tag, raw, whole > 0))
+        if tag == "form" and not node.bad:
+            forms.append(node)
         if not node.bad:
             above.children.append(node)
             above.parts.append(node)
         elif not above.bad:
             above.parts.append(Node("bad", above, True))  # it still parts the text around it
-        if found[3].endswith("/") and tag not in HOLDS:
+        if raw.endswith("/") and tag not in HOLDS:
             continue
         whole += tag in WHOLE
         stack.append((tag, node))
+        opened[tag] += 1
+    _drop_forms(root, forms)
     return root
 
 
+def _drop_forms(root: Node, forms: list[Node]) -> None:
+    """Empties and detaches ``forms`` that do not wrap the page."""
+    if not forms:
+        return
+    nodes = _ordered(root)
+    chars, wraps = {id(x): x.chars for x in nodes}, {id(x): (x.tag in WHOLE, x.tag == "p") for x in nodes}
+    for node in reversed(nodes):
+        for child in node.children:
+            chars[id(node)] += chars[id(child)]
+            wraps[id(node)] = tuple(a or b for a, b in zip(wraps[id(node)], wraps[id(child)], strict=True))
+    for form in forms:
+        has_whole, has_paragraph = wraps[id(form)]
+        if not (has_whole or has_paragraph and 2 * chars[id(form)] >= chars[id(root)]):
+            form.bad, form.parts, form.children = True, [], []
+            form.chars = form.tags = form.link_chars = form.link_tags = 0
+    for parent in {id(x.parent): x.parent for x in forms}.values():
+        parent.children = [x for x in parent.children if not x.bad]
+
+
 def _ordered(root: Node) -> list[Node]:
     """All nodes, parents first."""
     out = [root]
