@@ -147,6 +147,12 @@ def test_base_spans_are_those_of_the_patterns(text):
     assert pii.base_spans(text) == want
 
 
+def test_long_parts_of_addresses():
+    zeros = "0" * 5000
+    assert pii.base_spans(f"{zeros}1.2.{zeros}.4 x") == [(1, 0, 10_006)]
+    assert pii.base_spans(f"1.2.3.{'9' * 5000}") == []
+
+
 def test_patterns_take_time_in_proportion():
     for text in ("a" * 300_000 + "@", "1" * 300_000, "1 " * 150_000, "@" * 100_000, "+1" * 100_000):
         pii.base_spans(text)
@@ -225,7 +231,7 @@ def test_pages_with_articles_are_whole():
 
 @pytest.mark.parametrize("part", [
     '<section id="side-effects"><p>kept</p></section>', '<h2 id="search-and-rescue">kept</h2>', '<p id="notice-periods">kept</p>',
-    '<section id="social-impact">kept</section>', '<section id="comments">kept</section>', '<p class="social-impact">kept</p>',
+    '<section id="social-impact">kept</section>', '<section id="commentary">kept</section>', '<p class="social-impact">kept</p>',
     '<div data-id="menu" data-class="ad">kept</div>', '<figure><figcaption>kept</figcaption></figure>',
     '<p title="a hidden valley">kept</p>', '<p class="hidden md:block">kept</p>', "<p title='class=\"ad\"'>kept</p>",
     '<p title="display: none">kept</p>', '<div class="post-header">kept</div>',
@@ -239,12 +245,37 @@ def test_article_text_is_kept(part):
     '<div class="x ad">gone</div>', '<div class="share-buttons">gone</div>', '<p hidden>gone</p>', '<p HIDDEN="">gone</p>',
     '<p aria-hidden=true>gone</p>', '<p style="color:red; display : none">gone</p>', '<div role="navigation">gone</div>',
     '<div id="comments">gone</div>', "<p class='advert'>gone</p>", '<article class="comment"><p>gone</p></article>',
-    '<aside>gone</aside>', '<div class=cookie-banner>gone</div>',
+    '<section id="comments">gone</section>', '<ol id="comment-list"><li>gone</ol>', '<form><p>gone</p></form>', '<aside>gone</aside>', '<div class=cookie-banner>gone</div>',
 ])
 def test_boilerplate_in_an_article_goes(part):
     assert pages.main_text(f"<body><article><p>one</p>{part}<p>two</p></article></body>") == "one\n\ntwo"
 
 
+def test_forms_that_wrap_the_page_stay():
+    long = "Words of a long paragraph that says a good deal, and more of it."
+    assert pages.main_text(f"<body><form id=f><div><p>{long}</p><p>{long}</p></div></form></body>") == f"{long}\n\n{long}"
+    assert pages.main_text(f"<body><form><article><p>{long}</p></article><p>Name</p></form></body>").startswith(long)
+    assert pages.main_text(f"<body><div><p>{long}</p><p>{long}</p></div><form><p>Your name</p></form></body>") == f"{long}\n\n{long}"
+
+
+def test_broken_quotes_and_tags():
+    assert pages.main_text("<p>one</p><p title='x>two</p><p>three</p>") == "one\n\ntwo\n\nthree"
+    assert pages.main_text("<p>one <b") == "one <b"
+    assert pages.main_text('<p title="a > b">one</p>') == "one"
+
+
+@pytest.mark.parametrize("part", ['<a "', "<a \"'>", "<svg>", "<div></section>", "<b><p>", "<!-", "<a '>\"", "<form>", "</p "])
+def test_hostile_pages_take_time_in_proportion(part):
+    import time
+    pages.main_text(part * 2000)
+    spent = []
+    for n in (20_000, 80_000):
+        at = time.process_time()
+        pages.main_text(part * n)
+        spent.append(time.process_time() - at)
+    assert spent[1] < 9 * spent[0] + 0.5
+
+
 def test_toxicity_shares_subwords_and_finds_single_words():
     rng = np.random.default_rng(4)
     clean = ["the", "quick", "river", "stone", "walks", "under", "green", "light"]

@@ -62,7 +62,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         at = text.find("@", max(at + 1, last))
     if _SEED.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split(".")):
+            if all(len(p) < 4 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in m[0].split("."))):
                 found.append((1, m.start(), m.end()))
         for m in _CARD.finditer(text):
             d = _digits(m[0])
