@@ -1,11 +1,13 @@
 r"""Personal data: fixed patterns, and a BiLSTM-CRF tagger that adds what they miss.
 
 The patterns (e-mail, ip, card, phone) give the base spans, which always stay. The tagger is trained on windows of the
-corpus labelled by the base spans, from a bounded sample of rows chosen by hash. It reads every stretch of text that
-holds a digit or an @, without which none of the four kinds can be, in windows of SIZE characters that overlap by half;
-each character takes its tag from the window in which it lies most inwards, so spans across window borders come out
-whole, and spans are then read off the joined tags of the whole text. An added span must not touch a base span and must
-hold what its kind is made of (see ``_plausible``), so ordinary numbers stay alone.
+corpus labelled by the base spans, from a bounded sample of rows chosen by hash, and on the same windows with the spans
+written in other ways (``varied``: " (at) ", "[dot]", spaced or bracketed points, other marks between digits, no plus sign),
+which the patterns miss. It reads every stretch of text that holds a digit, an @, a written-out "dot" or an "at" in
+brackets, without which none of the four kinds can be, in windows of SIZE characters that overlap by half; each character
+takes its tag from the window in which it lies most inwards, so spans across window borders come out whole, and spans are
+then read off the joined tags of the whole text. An added span is widened to whole words and numbers, must not touch a base
+span and must hold what its kind is made of (see ``_plausible``), so ordinary numbers stay alone.
 
 Defined results: null and empty texts have no spans. Repeated rows are searched one by one. Without any base span in
 the sample the tagger is not trained and adds nothing. Columns other than doc_id and text are not read. All offsets are
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,14 +30,23 @@ from tradewind.llm.tagger import Tagger, symbols
 
 KINDS = ("email", "ip", "card", "phone")
 SIZE, MARGIN = 64, 24
-#: Bounds of the training sample: rows looked at (about, by a hash of the id), windows of a row, windows in all.
-SAMPLE_ROWS, ROW_WINDOWS, WINDOWS = 60_000, 4, 1600
+#: Bounds of the training sample: rows looked at (about, by a hash of the id), windows of a row, windows in all (those with
+#: spans are four times as likely to be among them).
+SAMPLE_ROWS, ROW_WINDOWS, WINDOWS = 60_000, 4, 2400
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SEED = re.compile(r"[0-9@]")
+_WRITTEN_OUT = re.compile(r"[\[({<] ?[aA][tT] ?[\])}>]|[dD][oO][tT](?![A-Za-z])")
+#: What may stand for the @ and the points of an added span.
+_AT = r"(?: ?@ ?| ?[\[({<] ?at ?[\])}>] ?| at )"
+_POINT = r"(?:\.| ?[\[({<] ?(?:dot|\.) ?[\])}>] ?| dot )"
+_MAIL = re.compile(rf"[a-z0-9._%+-]+{_AT}[a-z0-9-]+(?:{_POINT}[a-z0-9-]+)+", re.I)
+_QUAD = re.compile(rf"[0-9]{{1,3}}(?:(?:{_POINT}| ?\. ?)[0-9]{{1,3}}){{3}}", re.I)
+_NUMBER_MARKS = frozenset("0123456789 +()./-\u2013")  # no colons, commas or letters: times and amounts have those
+_DATE = re.compile(r"(?:19|20)[0-9]{2}([-./ ])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-./ ])[0-9]{1,2}\2(?:19|20)[0-9]{2}")
 
 
 def luhn(digits: str) -> bool:
@@ -75,8 +87,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Where digits or @ are, with MARGIN characters on both sides; neighbours joined."""
+    """Where digits, @ or their written-out forms are, with MARGIN characters on both sides; neighbours joined."""
     at = np.fromiter((m.start() for m in _SEED.finditer(text)), np.int64)
+    written = [m.start() for m in _WRITTEN_OUT.finditer(text)]
+    if written:  # a name of usual length may stand before them
+        at = np.unique(np.concatenate([at, np.maximum(np.array(written) - MARGIN, 0), np.array(written)]))
     if not len(at):
         return []
     cut = np.flatnonzero(np.diff(at) > 2 * MARGIN)
@@ -99,21 +114,83 @@ def _tags(start: int, spans: list[tuple[int, int, int]]) -> np.ndarray:
     return y
 
 
+def varied(kind: int, got: str, pick: int) -> str:
+    """The base span ``got`` in another way of writing, which no pattern finds whole."""
+    if kind == 0:
+        local, _, domain = got.rpartition("@")
+        at, point = ((" at ", " dot "), (" (at) ", "."), ("[at]", "[dot]"), (" @ ", "."), (" [at] ", " [dot] "), ("(at)", "(dot)"))[pick % 6]
+        return local + at + domain.replace(".", point)
+    if kind == 1:
+        return (" . ", "[.]", " dot ", "(.)", "[dot]", ". ")[pick % 6].join(got.split("."))
+    d = _digits(got)
+    if kind == 2:
+        return (".", "/", " - ", "  ", " / ")[pick % 5].join(d[i:i + 4] for i in range(0, len(d), 4))
+    tail = [d[:-10], d[-10:-7], d[-7:-4], d[-4:]] if len(d) > 10 else [d[:-7], d[-7:-4], d[-4:]]
+    form = pick % 5
+    if form == 0:
+        return f"({tail[-3]}) {tail[-2]}-{tail[-1]}"
+    if form == 1:
+        return "00" + " ".join(t for t in tail if t)
+    return (" ", "/", "\u2013", "-", ".")[form if form < 4 else 0 if len(tail) > 3 else 4].join(t for t in tail if t)
+
+
+def _varied_window(text: str, start: int, spans: list[tuple[int, int, int]], pick: int) -> tuple[str, np.ndarray] | None:
+    """A window that begins at ``start`` with every whole span in it written in another way, and its tags."""
+    whole = sorted((a, b, k) for k, a, b in spans if start <= a and b <= start + SIZE)
+    whole = [x for i, x in enumerate(whole) if not i or x[0] >= whole[i - 1][1]]
+    if not whole:
+        return None
+    out, marked, at = "", [], start
+    for a, b, kind in whole:
+        out += text[at:a]
+        new = varied(kind, text[a:b], pick)
+        marked.append((kind, len(out), len(out) + len(new)))
+        out, at = out + new, b
+        pick //= 7
+    out += text[at:at + SIZE]
+    return out[:SIZE], _tags(0, marked)
+
+
+def _widened(kind: int, text: str, start: int, end: int) -> tuple[int, int]:
+    """start..end without marks at its ends, widened to the borders of the words or numbers it begins and ends in; an
+    address that is tagged in part is taken as it is written."""
+    if kind < 2:
+        first = max(start - SIZE, 0)
+        for m in (_MAIL, _QUAD)[kind].finditer(text[first:end + SIZE]):
+            if m.start() + first < end and m.end() + first > start:
+                return m.start() + first, m.end() + first
+    while start < end and not (text[start].isalnum() or text[start] in "(+"):
+        start += 1
+    while end > start and not text[end - 1].isalnum():
+        end -= 1
+    while start and end - start and text[start].isalnum() and text[start - 1].isalnum() and end - start < 4 * SIZE:
+        start -= 1
+    while end < len(text) and end > start and text[end].isalnum() and text[end - 1].isalnum() and end - start < 4 * SIZE:
+        end += 1
+    if text[start:start + 1].isdigit() and text[start - 1:start] in ("(", "+") and start:
+        start -= 1
+    return start, end
+
+
 def _plausible(kind: int, text: str, start: int, end: int) -> bool:
     """What an added span must be: a whole run, not part of a longer word or number, with the digits its kind has."""
     got = text[start:end]
-    beside = text[start - 1:start] + text[end:end + 1]
-    if any(c.isalnum() or c in "@_=\"'" for c in beside):
+    beside = text[max(start - 1, 0):start] + text[end:end + 1]
+    if not got or any(c.isalnum() or c in "@_=\"'" for c in beside):
         return False
     d = _digits(got)
     if kind == 0:
-        return "@" in got[1:-1] and "." in got
+        bare = " at " in got.lower() and "@" not in got
+        return bool(_MAIL.fullmatch(got)) and (not bare or " dot " in got.lower())
     if kind == 1:
-        parts = re.findall(r"[0-9]+", got)
-        return len(parts) == 4 and all(len(p) < 4 and int(p) <= 255 for p in parts) and not any(c.isalpha() for c in got)
-    if any(c.isalpha() for c in got):
+        return bool(_QUAD.fullmatch(got)) and all(int(p) <= 255 for p in re.findall(r"[0-9]+", got))
+    if not set(got) <= _NUMBER_MARKS:
         return False
-    return 13 <= len(d) <= 19 and luhn(d) if kind == 2 else 8 <= len(d) <= 15 and (got[0] in "+(" or len(d) < len(got))
+    if kind == 2:
+        return 13 <= len(d) <= 19 and luhn(d)
+    groups = re.findall(r"[0-9]+", got)
+    led = got[0] in "+(" or got[0] == "0" and len(groups) > 1
+    return 8 <= len(d) <= 15 and (led or len(groups) > 2) and not _DATE.search(got)
 
 
 def added_spans(texts: list[str], tagger: Tagger, base: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:
@@ -134,8 +211,8 @@ def added_spans(texts: list[str], tagger: Tagger, base: list[list[tuple[int, int
             inner, end = tags[at] + 1, at + 1
             while end < len(tags) and tags[end] == inner:
                 end += 1
-            span = (int(tags[at] - 1) // 2, a + at, a + end)
-            free = all(span[2] <= s or span[1] >= e for _, s, e in base[i])
+            span = (int(tags[at] - 1) // 2, *_widened(int(tags[at] - 1) // 2, texts[i], a + at, a + end))
+            free = all(span[2] <= s or span[1] >= e for _, s, e in chain(base[i], out[i]))
             if free and _plausible(span[0], texts[i], span[1], span[2]):
                 out[i].append(span)
     return out
@@ -155,12 +232,16 @@ def _sample(batches):
             starts = [w for a, b in stretches(text) for w in windows(a, b)]
             starts.sort(key=lambda w: (not any(s < w + SIZE and e > w for _, s, e in spans), w * 2654435761 % 1000003))
             for w in starts[:ROW_WINDOWS]:
-                key = hashlib.blake2b(f"{doc_id}:{w}".encode(), digest_size=7).digest()
-                out.append((int.from_bytes(key, "big"), text[w:w + SIZE], _tags(w, spans).astype(np.int8).tobytes()))
+                key = int.from_bytes(hashlib.blake2b(f"{doc_id}:{w}".encode(), digest_size=7).digest(), "big")
+                tags = _tags(w, spans)
+                out.append((key >> 2 * bool(tags.any()), text[w:w + SIZE], tags.astype(np.int8).tobytes()))
+                other = _varied_window(text, w, spans, key % 1000003)
+                if other:
+                    out.append((key >> 2, other[0], other[1].astype(np.int8).tobytes()))
         yield pd.DataFrame(out, columns=["at", "window", "tags"])
 
 
-def train(docs: DataFrame, steps: int = 200) -> Tagger | None:
+def train(docs: DataFrame, steps: int = 300) -> Tagger | None:
     """A tagger trained on at most WINDOWS windows of ``docs``; None if no base span is among them. What reaches one
     task follows the bounds, not the table."""
     share = min(1.0, SAMPLE_ROWS / max(1, docs.count()))
