@@ -100,10 +100,10 @@ def test_spans_over_window_borders_come_out_whole():
         assert (2, text.index(number), text.index(number) + 16) in pii.added_spans([text], Marks(), [[]])[0]
 
 
-def test_variants_escape_the_patterns_or_keep_their_digits():
+def test_variants_keep_their_digits():
     rng = np.random.default_rng(14)
     for kind in range(4):
         for pick in range(30):
             got = _item(rng, kind)
-            assert pii._digits(pii.varied(kind, got, pick)).lstrip("0") in ("", pii._digits(got).lstrip("0")) or kind == 0
+            assert pii._digits(got).endswith(pii._digits(pii.varied(kind, got, pick)).lstrip("0"))  # a land's code may go
             assert pii.varied(kind, got, pick) != got
