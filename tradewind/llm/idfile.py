@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm import codec
-from tradewind.llm.tokens import encoder, public_path
+from tradewind.llm.tokens import encoder, public_path, small
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
@@ -38,7 +38,7 @@ def _blocks(vocabulary: str, end: int, size: int):
                  pa.array([n], pa.int64()), pa.array([coded], pa.binary())], names=["shard", "block", "documents", "ids", "coded"])
 
         coder = encoder(vocabulary)
-        for batch in batches:
+        for batch in small(batches):
             texts = coder.encode_many(batch.column("text").to_pylist())
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
                 ids = np.append(ids, np.uint32(end))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions.storage import stored
-from tradewind.llm.tokens import encoder, public_path
+from tradewind.llm.tokens import encoder, public_path, small
 
 LIMIT = 2048
 END = 0
@@ -47,7 +47,7 @@ def cut(n: int, limit: int) -> list[tuple[int, int]]:
 def _pieces(vocabulary: str, end: int, limit: int, with_ids: bool):
     def run(batches):
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
-        for batch in batches:
+        for batch in small(batches):
             coder, out = encoder(vocabulary), []
             texts = coder.encode_many(batch.column("text").to_pylist())
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
