@@ -11,12 +11,14 @@ reports those it has twice or more. The order decides only how many candidates t
    name: the group in whose prefix the shingle stands first, which has the fewest shingles of its own. In a crowd of near
    copies that is the text they were made from, so one check per member ties the crowd together. Then all pairs that
    share prefix shingles, pass the length filter, the positional filter and the overlap filter and are not tied already
-   are expanded to their members and checked on the whole texts. A pair left out is already joined by checked links, so
+   are listed once, where a run of shared shingles begins, and checked on the whole texts. A pair left out is already joined by checked links, so
    the components are those of all links.
 4. Components are found by rounds of joins; every class takes its component, every document its class.
 
 Positional filter: in the prefix of x a shingle stands behind the shared ones before it (no other can be in y) and before
-the rest of x, so with any set that has it too x shares at most their number and the rest. Overlap filter: let the
+the rest of x, so with any set that has it too x shares at most their number and the rest. At the first shingle that two
+sets share, both must have as many shingles left as they must share; this keeps a text a little too far from the common
+ones of a crowd, whose prefix begins with shingles of its own, from meeting the whole crowd. Overlap filter: let the
 prefix of x end before that of y in the common order. What they share lies in both prefixes, where it was counted, or
 behind the prefix of x; so they share at most the count and what x has behind its prefix.
 
@@ -241,23 +243,35 @@ def find(docs: DataFrame) -> DataFrame:
         "g", "n", "last", "key", "rep", F.coalesce("label", "rep").alias("label"))
     marked = stored(marked, "marked")
     # what a set can share with one that has this shingle too: the shared shingles before it, and all from it on
-    order = Window.partitionBy("g", "rep").orderBy("pos")
+    order = Window.partitionBy("g", "rep", "key").orderBy("pos")
     spread = shared.where("pos >= 0").select("token", "g", "pos").join(marked, "g")
     spread = spread.withColumn("most", F.row_number().over(order) - 1 + F.col("n") - F.col("pos"))
+    spread = spread.withColumn("before", F.lag("token", 1).over(order)).withColumn("before2", F.lag("token", 2).over(order))
     spread = spread.withColumn("lo", F.min("label").over(each)).withColumn("hi", F.max("label").over(each))
-    spread = stored(spread.where("lo <> hi").select("token", "n", "last", "most", "pos", "key", "rep", "label"), "open-shingles")
+    spread = stored(spread.where("lo <> hi").select(
+        "token", "n", "last", "most", "pos", "before", "before2", "key", "rep", "label"), "open-shingles")
     p, q = spread.alias("p"), spread.alias("q")
+    # from the first shingle they share on, both must have enough left; a pair that shares one of the two shingles before
+    # was listed there
     rest = F.least(F.col("p.n") - F.col("p.pos"), F.col("q.n") - F.col("q.pos"))
+    listed = F.lit(False)
+    for x in ("p.before", "p.before2"):
+        for y in ("q.before", "q.before2"):
+            listed = listed | F.coalesce(F.col(x) == F.col(y), F.lit(False))
     apart = (F.col("p.rep") < F.col("q.rep")) & (F.col("p.label") != F.col("q.label"))
     shown = [F.col("p.rep").alias("a"), F.col("p.key").alias("ka"), F.col("q.rep").alias("b"), F.col("q.key").alias("kb")]
     both_n = F.col("p.n") + F.col("q.n")
-    sizes = (4 * F.least("p.n", "q.n") >= 3 * F.greatest("p.n", "q.n")) & (7 * F.least("p.most", "q.most") >= 3 * both_n)
-    both = p.join(q, (F.col("p.token") == F.col("q.token")) & apart & sizes).select(
-        *shown, *[F.col(f"p.{c}").alias(c) for c in ("n", "last")], *[F.col(f"q.{c}").alias(f"{c}2") for c in ("n", "last")],
-        rest.alias("rest"))
-    # behind the first shingle they share, where the rest is largest, there must be enough left
-    both = both.groupBy(*[c for c in both.columns if c != "rest"]).agg(F.count("*").alias("shared"), F.max("rest").alias("rest"))
-    across = both.where(_enough("shared", "n", "last", "n2", "last2") & (7 * F.col("rest") >= 3 * (F.col("n") + F.col("n2"))))
+    sizes = ((4 * F.least("p.n", "q.n") >= 3 * F.greatest("p.n", "q.n")) & (7 * F.least("p.most", "q.most") >= 3 * both_n)
+             & (7 * rest >= 3 * both_n))
+    both = p.join(q, (F.col("p.token") == F.col("q.token")) & apart & sizes & ~listed).select(
+        *shown, *[F.col(f"p.{c}").alias(c) for c in ("n", "last")], *[F.col(f"q.{c}").alias(f"{c}2") for c in ("n", "last")])
+    both = stored(both.distinct(), "candidates")
+    # all shingles of the prefixes that a pair shares are open ones
+    wanted = both.select(F.col("ka").alias("key")).unionByName(both.select(F.col("kb").alias("key"))).distinct()
+    sets = stored(spread.join(wanted, "key", "left_semi").groupBy("key").agg(F.collect_list("token").alias("tokens")), "open-sets")
+    both = both.join(sets.select(F.col("key").alias("ka"), F.col("tokens").alias("x")), "ka")
+    both = both.join(sets.select(F.col("key").alias("kb"), F.col("tokens").alias("y")), "kb")
+    across = both.withColumn("shared", F.size(F.array_intersect("x", "y"))).where(_enough("shared", "n", "last", "n2", "last2"))
     across = across.select("a", "ka", "b", "kb")
     s, t = marked.alias("p"), marked.alias("q")
     within = s.join(t, (F.col("p.g") == F.col("q.g")) & apart).select(*shown)
