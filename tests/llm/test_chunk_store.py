@@ -8,7 +8,8 @@ from pathlib import Path
 import pyarrow as pa
 import pytest
 
-from tradewind.llm.tokens import Encoder, public_path, small
+from tradewind.llm.tokens import Encoder, public_path
+from tradewind.llm.words import shingle_sets, small
 
 NAMES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
 LETTERS = "abcdefghijklmnopqrstuvwxyzABCÉéèñöüß"
@@ -71,3 +72,43 @@ def test_few_rows_at_a_time():
     batch = pa.RecordBatch.from_arrays([pa.array(range(1200))], names=["x"])
     parts = list(small([batch, batch.slice(0, 0)]))
     assert [len(p) for p in parts] == [512, 512, 176] and sum((p.column("x").to_pylist() for p in parts), []) == list(range(1200))
+
+
+def test_shingles_of_a_large_batch_take_little_memory():
+    code = """if True:
+        import resource
+        import numpy as np, pyarrow as pa
+        from tradewind.llm import neardup
+        draw = np.random.default_rng(1)
+        text = lambda: " ".join("%x" % x for x in draw.integers(0, 1 << 40, 300).tolist())
+        batch = pa.RecordBatch.from_arrays([pa.array(range(4000)), pa.array([text() for _ in range(4000)])], names=["doc_id", "text"])
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        rows = sum(b.num_rows for b in neardup._census(iter([batch])))
+        assert rows >= 4000
+        print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+    """
+    grown = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+    assert int(grown.stdout) < 60  # MB; 73 with slices of 2 MB and whole batches
+
+
+def test_shingles_of_slices_are_those_of_the_batch():
+    texts = pa.array([None if k % 11 == 0 else " ".join(_texts(k, 3)) for k in range(1100)])
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    whole = [s.tolist() for s in shingle_sets(batch.column("text"))]
+    assert [s.tolist() for b in small([batch]) for s in shingle_sets(b.column("text"))] == whole
+
+
+def test_a_worker_gives_memory_back():
+    code = """if True:
+        import re
+        import numpy as np, pyarrow as pa
+        from tradewind.llm.words import small
+        held = lambda: int(re.search(r"VmRSS:\\s+(\\d+)", open("/proc/self/status").read())[1]) >> 10
+        many = [np.ones(2500) for _ in range(10000)]
+        many = many[-1:]
+        before = held()
+        list(small(iter([pa.RecordBatch.from_arrays([pa.array([1])], names=["x"])])))
+        print(before - held())
+    """
+    back = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+    assert int(back.stdout) > 100

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm import codec
-from tradewind.llm.tokens import encoder, public_path, small
+from tradewind.llm.tokens import encoder, public_path
+from tradewind.llm.words import small
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from tradewind.functions.storage import stored
 from tradewind.llm.components import components
 from tradewind.llm.lookup import only_wanted, without
-from tradewind.llm.words import shingle_sets
+from tradewind.llm.words import shingle_sets, small
 
 #: The common shingles that the order puts last, at most (a broadcast of 8 bytes each).
 HEAVY = 1 << 16
@@ -72,7 +72,7 @@ def _census(batches):
             [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(tokens[some].view(np.int64)),
              pa.array(times[some].astype(np.int64))], names=["doc_id", "n", "key", "token", "times"])
 
-    for batch in batches:
+    for batch in small(batches):
         sizes, keys = [], []
         for own in shingle_sets(batch.column("text")):
             sizes.append(len(own))
@@ -97,7 +97,7 @@ def _prefixes(common: np.ndarray, rank: np.ndarray):
     shingles, group, size, -1, key)."""
     def run(batches):
         seen: set[bytes] = set()
-        for batch in batches:
+        for batch in small(batches):
             tokens, groups, sizes, places, keys = [], [], [], [], []
 
             def flush():
@@ -144,13 +144,13 @@ def _prefixes(common: np.ndarray, rank: np.ndarray):
 
 def _keyed(batches):
     """The hash of the set beside each text."""
-    for batch in batches:
+    for batch in small(batches):
         keys = [_key(s) if len(s) else None for s in shingle_sets(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column("text")], names=["key", "text"])
 
 
 def _similar(batches):
-    for batch in batches:
+    for batch in small(batches):
         good = []
         for x, y in zip(shingle_sets(batch.column("x")), shingle_sets(batch.column("y")), strict=True):
             both = np.concatenate([x, y])

@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions.storage import stored
-from tradewind.llm.tokens import encoder, public_path, small
+from tradewind.llm.tokens import encoder, public_path
+from tradewind.llm.words import small
 
 LIMIT = 2048
 END = 0

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from tradewind.llm.words import small
+
 WINDOW = 5
 BUCKETS = 1 << 16
 DIM = 12
@@ -98,7 +100,7 @@ def window_means(values: np.ndarray) -> np.ndarray:
 class Scorer:
     """Worst window of each text; logits of words are kept from batch to batch, up to KEPT words."""
 
-    KEPT = 400_000
+    KEPT = 200_000
 
     def __init__(self, model: Model):
         self.model, self.known = model, {}
@@ -264,7 +266,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, column: str = "
 
     def run(batches):
         scorer = Scorer(shared.value)
-        for batch in batches:
+        for batch in small(batches):
             worst = scorer.worst(batch.column(column).to_pylist())
             p = shared.value.probability(worst)
             yield pa.RecordBatch.from_arrays(

@@ -6,6 +6,7 @@ UTF-8, so all of this works on the bytes of an Arrow column without decoding it.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ import pyarrow.compute as pc
 
 SHINGLE = 5
 #: Bytes of text handled at a time; what a step holds is a small multiple of it.
-SLICE = 1 << 21
+SLICE = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -41,6 +42,24 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def release() -> None:
+    """Give unused memory back to the system: a Python worker stays from stage to stage, beside others on its machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
+def small(batches: Iterator, rows: int = 512) -> Iterator:
+    """The Arrow ``batches`` in runs of a few rows, so that few texts are Python strings at a time. What earlier tasks and
+    batches left behind is released."""
+    release()
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+        release()
+
+
 def text_slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets of the rows in them) for runs of rows of about SLICE bytes. Null is empty."""
     if isinstance(column, pa.ChunkedArray):
