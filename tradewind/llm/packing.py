@@ -35,6 +35,8 @@ from tradewind.llm.words import small
 LIMIT = 2048
 END = 0
 VOCABULARY = "byte_bpe_50k.json"
+#: Rows whose texts are cut into chunks together.
+ROWS = 4096
 
 _PIECE = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint")
 
@@ -48,9 +50,9 @@ def cut(n: int, limit: int) -> list[tuple[int, int]]:
 def _pieces(vocabulary: str, end: int, limit: int, with_ids: bool):
     def run(batches):
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
-        for batch in small(batches):
+        for batch in small(batches, ROWS):
             coder, out = encoder(vocabulary), []
-            texts = coder.encode_many(batch.column("text").to_pylist())
+            texts = coder.encode_many(batch.column("text"))
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
                 ids = np.append(ids, np.uint32(end)).astype("<u4")
                 for k, (at, n) in enumerate(cut(len(ids), limit)):
