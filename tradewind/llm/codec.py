@@ -39,7 +39,7 @@ class _Model:
     """A table entry is an id, shifted by three bits, and its confidence."""
 
     def __init__(self, vocabulary: int, lanes: int):
-        self.second, self.first = np.zeros(1 << _HASHED, np.int64), np.zeros(vocabulary, np.int64)
+        self.second, self.first = np.zeros(1 << _HASHED, np.int32), np.zeros(vocabulary, np.int32)
         self.mixed = np.full((3, (_SURE + 1) * (_SURE + 1) * 2), 4, np.int64)
         self.count = np.ones(vocabulary, np.int64)
         self.below = np.zeros(vocabulary + 1, np.int64)
@@ -53,10 +53,11 @@ class _Model:
     def look(self):
         """Guesses of order 2 and of order 1 for each lane, and the counters of being right: order 2, order 1, neither."""
         self.at = (self.two * 40503 + self.one * 2654435761 >> 7) & ((1 << _HASHED) - 1)
-        self.seen2, self.seen1 = self.second[self.at], self.first[self.one]
+        self.seen2, self.seen1 = self.second.take(self.at), self.first.take(self.one)
         self.guess2, self.guess1 = self.seen2 >> 3, self.seen1 >> 3
-        self.row = ((self.seen2 & 7) * 8 + (self.seen1 & 7)) * 2 + (self.guess2 == self.guess1)
-        return self.guess2, self.guess1, self.mixed[0][self.row], self.mixed[1][self.row], self.mixed[2][self.row]
+        self.row = (((self.seen2 & 7) << 4) + ((self.seen1 & 7) << 1) + (self.guess2 == self.guess1)).astype(np.int64)
+        three = (self.mixed[0] | self.mixed[1] << 20 | self.mixed[2] << 40).take(self.row)  # one look for three
+        return self.guess2, self.guess1, three & 0xFFFFF, three >> 20 & 0xFFFFF, three >> 40
 
     def learn(self, ids: np.ndarray, kind: np.ndarray) -> None:
         rows = self.mixed.shape[1]
@@ -64,11 +65,12 @@ class _Model:
         full = np.flatnonzero(self.mixed.sum(0) > _CAP)
         if len(full):
             self.mixed[:, full] = (self.mixed[:, full] + 1) >> 1
-        fresh = (ids << 3) | 1
+        new = ids.astype(np.int32)
+        fresh = (new << 3) | 1
         for table, at, seen, guess in ((self.second, self.at, self.seen2, self.guess2), (self.first, self.one, self.seen1, self.guess1)):
             trust = seen & 7
             worse = np.where(trust == 0, fresh, seen - 1 - (trust > 3))
-            table[at] = np.where(guess == ids, seen + (trust < _SURE), worse)
+            table[at] = np.where(guess == new, seen + (trust < _SURE), worse)
         np.add.at(self.count, ids, _GAIN)
         self.step += 1
         if self.step % _FRESH == 0 or self.step < _FRESH:
@@ -76,6 +78,20 @@ class _Model:
         self.two, self.one = self.one, ids
 
 
+def _over(x: np.ndarray, by) -> np.ndarray:
+    """x // by of whole numbers up to 2^48: what a fraction lacks to the next whole number is more than a double rounds by."""
+    return (x / by).astype(np.int64)
+
+
+def _find(below: np.ndarray, goals: np.ndarray) -> np.ndarray:
+    """The last place in ``below`` not above each goal; looked up in ascending order, which a cache likes."""
+    bits = LANES.bit_length()
+    goals = np.sort(goals << bits | np.arange(len(goals)))
+    found = np.empty(len(goals), np.int64)
+    found[goals & ((1 << bits) - 1)] = np.searchsorted(below, goals >> bits, "right") - 1
+    return found
+
+
 def _shape(n: int) -> tuple[int, int]:
     lanes = max(1, min(LANES, n // LEAST))
     return lanes, -(-n // lanes)
@@ -85,30 +101,30 @@ def encode(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     n = len(ids)
     lanes, steps = _shape(n)
     vocabulary = int(ids.max()) + 1 if n else 1
-    grid = np.zeros(lanes * steps, np.int64)
+    grid = np.zeros(lanes * steps, np.int32)
     grid[:n] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     model = _Model(vocabulary, lanes)
-    digits, filled = np.zeros((lanes, 3 * steps + 4), np.int64), np.zeros(lanes, np.int64)
+    digits, filled = np.zeros((3 * steps + 4, lanes), np.int32), np.zeros(lanes, np.int64)  # lanes fill alike: few rows at a time
     low, wide = np.zeros(lanes, np.int64), np.full(lanes, 1 << _TOP, np.int64)
 
     def put(start, share, total, who) -> None:
         """Narrow the ranges of the lanes ``who``; None stands for all."""
         nonlocal low, wide
         mine, width = (low, wide) if who is None else (low[who], wide[who])
-        r = width // total
+        r = _over(width, total)
         mine = mine + r * start
         width = r * share
         carry = np.flatnonzero(mine >> _TOP)
         if len(carry):
             lanes_ = carry if who is None else who[carry]
-            digits[lanes_, filled[lanes_] - 1] += 1
+            digits[filled[lanes_] - 1, lanes_] += 1
             mine &= (1 << _TOP) - 1
         small = np.flatnonzero(width < 1 << _LOW)
         while len(small):
             lanes_ = small if who is None else who[small]
             top = mine[small]
-            digits[lanes_, filled[lanes_]] = top >> _LOW
+            digits[filled[lanes_], lanes_] = top >> _LOW
             filled[lanes_] += 1
             mine[small] = (top & ((1 << _LOW) - 1)) << _DIGIT
             width[small] <<= _DIGIT
@@ -120,6 +136,7 @@ def encode(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
 
     everyone = np.arange(lanes)
     for now in grid:
+        now = now.astype(np.int64)
         g2, g1, f0, f1, f2 = model.look()
         hit2, hit1 = now == g2, now == g1
         kind = np.where(hit2, 0, np.where(hit1, 1, 2))
@@ -133,15 +150,16 @@ def encode(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
             put(first, below[these + 1] - first, below[-1], rest)
         model.learn(now, kind)
     for k in range(2, -1, -1):
-        digits[everyone, filled] = low >> (_DIGIT * k) & 0xFFFF
+        digits[filled, everyone] = low >> (_DIGIT * k) & 0xFFFF
         filled += 1
+    digits = digits[:int(filled.max())]
     while True:  # carries
         over = digits >> _DIGIT
         if not over.any():
             break
         digits &= 0xFFFF
-        digits[:, :-1] += over[:, 1:]
-    body = digits.astype("<u2")[np.arange(digits.shape[1])[None, :] < filled[:, None]]
+        digits[:-1] += over[1:]
+    body = digits.T.astype("<u2")[np.arange(len(digits))[None, :] < filled[:, None]]
     out = b"".join([MAGIC, struct.pack("<5I", len(doc_ids), n, vocabulary, lanes, steps),
                     np.asarray(doc_ids, "<i8").tobytes(), np.asarray(lengths, "<i8").tobytes(),
                     filled.astype("<u4").tobytes(), body.tobytes()])
@@ -165,7 +183,7 @@ def decode(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     next_ = next_ + 3
     wide = np.full(lanes, 1 << _TOP, np.int64)
     model = _Model(vocabulary, lanes)
-    grid = np.empty((steps, lanes), np.int64)
+    grid = np.empty((steps, lanes), np.int32)
 
     def more(mine, width, who) -> None:
         small = np.flatnonzero(width < 1 << _LOW)
@@ -180,19 +198,19 @@ def decode(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         g2, g1, f0, f1, f2 = model.look()
         two = f0 + f1
         total = two + f2
-        r = wide // total
-        goal = code // r
+        r = _over(wide, total)
+        goal = _over(code, r)
         miss2, miss1 = goal >= f0, goal >= two
         kind = miss2.astype(np.int64) + miss1
         code -= r * np.where(miss1, two, np.where(miss2, f0, 0))
         wide = r * np.where(miss1, f2, np.where(miss2, f1, f0))
         more(code, wide, None)
-        now = np.where(miss2, g1, g2)
+        now = np.where(miss2, g1, g2).astype(np.int64)
         rest = np.flatnonzero(miss1)
         if len(rest):
             below, mine, width = model.below, code[rest], wide[rest]
-            r = width // below[-1]
-            these = np.searchsorted(below, np.minimum(mine // r, below[-1] - 1), "right") - 1
+            r = _over(width, below[-1])
+            these = _find(below, np.minimum(_over(mine, r), below[-1] - 1))
             first = below[these]
             mine -= r * first
             width = r * (below[these + 1] - first)
